@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import format_duplicates
+from sluiceway.llm import format_duplicates, fusion
 from sluiceway.session import table
 
 
@@ -15,5 +15,15 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return format_duplicates.copies(lines.unionByName(records), within="table_name").select("table_name", "first_id", "copy_id")
 
 
-QUERIES = {"p4_found": p4_found}
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return fusion.best(table(spark, d, "all_metadata"))
+
+
+def p3_survivors(spark: SparkSession, d: str) -> DataFrame:
+    """The surviving record of each group, built from the best values."""
+    built = fusion.survivors(table(spark, d, "all_metadata"))
+    return built.withColumn("authors_crossref", F.array_join("authors_crossref", "; "))
+
+
+QUERIES = {"p3_found": p3_found, "p3_survivors": p3_survivors, "p4_found": p4_found}
 ORACLES: dict[str, str] = {}
