@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import format_duplicates, fusion
+from sluiceway.llm import format_duplicates, fusion, mixing, packing, repetition, subjects
 from sluiceway.session import table
 
 
@@ -25,5 +25,42 @@ def p3_survivors(spark: SparkSession, d: str) -> DataFrame:
     return built.withColumn("authors_crossref", F.array_join("authors_crossref", "; "))
 
 
-QUERIES = {"p3_found": p3_found, "p3_survivors": p3_survivors, "p4_found": p4_found}
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.unlabelled(table(spark, d, "all_metadata"), table(spark, d, "discipline_labels")).select("record_id", "second_level")
+
+
+def p5_composition(spark: SparkSession, d: str) -> DataFrame:
+    areas = subjects.assigned(table(spark, d, "all_metadata"), table(spark, d, "discipline_labels"))
+    return subjects.composition(areas, table(spark, d, "disciplines_taxonomy"))
+
+
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packed(table(spark, d, "documents"), table(spark, d, "container_sizes"))
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    return packing.report(p8_packed(spark, d), table(spark, d, "container_sizes"))
+
+
+def p9_mixed(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mixed(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shares(p9_mixed(spark, d), table(spark, d, "mix_targets"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return repetition.repetitive(table(spark, d, "documents")).select("doc_id")
+
+
+def p10_shares(spark: SparkSession, d: str) -> DataFrame:
+    return repetition.repetitive(table(spark, d, "documents"))
+
+
+QUERIES = {
+    "p3_found": p3_found, "p3_survivors": p3_survivors, "p4_found": p4_found, "p5_found": p5_found, "p5_composition": p5_composition,
+    "p8_packed": p8_packed, "p8_report": p8_report,
+    "p9_mixed": p9_mixed, "p9_shares": p9_shares, "p10_found": p10_found, "p10_shares": p10_shares,
+}
 ORACLES: dict[str, str] = {}
