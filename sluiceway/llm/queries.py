@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import format_duplicates, fusion, mixing, packing, repetition, subjects
+from sluiceway.llm import canonical, format_duplicates, fusion, mixing, packing, repetition, subjects
 from sluiceway.session import table
 
 
@@ -15,6 +15,18 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return format_duplicates.copies(lines.unionByName(records), within="table_name").select("table_name", "first_id", "copy_id")
 
 
+def p2_mapping(spark: SparkSession, d: str) -> DataFrame:
+    return canonical.canonicalized(table(spark, d, "all_metadata"), table(spark, d, "institutions"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return p2_mapping(spark, d).select("record_id", "field", "pos", F.col("entry").cast("int").alias("institution_id"))
+
+
+def p2_report(spark: SparkSession, d: str) -> DataFrame:
+    return canonical.unmatched(p2_mapping(spark, d))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return fusion.best(table(spark, d, "all_metadata"))
 
@@ -59,6 +71,7 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": p2_found, "p2_report": p2_report,
     "p3_found": p3_found, "p3_survivors": p3_survivors, "p4_found": p4_found, "p5_found": p5_found, "p5_composition": p5_composition,
     "p8_packed": p8_packed, "p8_report": p8_report,
     "p9_mixed": p9_mixed, "p9_shares": p9_shares, "p10_found": p10_found, "p10_shares": p10_shares,
