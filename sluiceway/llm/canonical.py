@@ -12,12 +12,13 @@ import html
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.bktree import BKTree
+from sluiceway.llm.bktree import BKTree, one_edit
 from sluiceway.operators.skew import join_groups
 from sluiceway.session import cut
 
@@ -40,8 +41,9 @@ PARTS = re.compile(r"[,;()\[\]|/\n\r\t]| - | – | — ")
 
 def fold(text: str) -> str:
     """Case, accents, invisible characters, entities and spacing aside."""
-    text = unicodedata.normalize("NFKD", html.unescape(text).casefold())
-    text = "".join(c for c in text if not unicodedata.combining(c) and unicodedata.category(c) != "Cf")
+    text = (html.unescape(text) if "&" in text else text).casefold()
+    if not text.isascii():
+        text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c) and unicodedata.category(c) != "Cf")
     return " ".join(text.replace("’", "'").split())
 
 
@@ -77,6 +79,13 @@ class Matcher:
         self.places = set(self.place.values()) - {""}
         self.tree, self.edits = BKTree(names), edits
 
+    @lru_cache(maxsize=200_000)  # noqa: B019
+    def near(self, part: str) -> tuple[tuple[int, str], ...]:
+        """Entries within the threshold of a part. A swap of neighbours is one slip of the hand but two edits, so the tree is asked for one edit more."""
+        if len(part) < LEAST_FUZZY:
+            return ()
+        return tuple((min(k, self.edits), name) for k, name in self.tree.within(part, self.edits + 1) if k <= self.edits or (self.edits == 1 and one_edit(part, name)))
+
     def best(self, value: str | None) -> tuple[int, int]:
         """(edits, entry) of the nearest entry, or (-1, NONE). A tie that the place doesn't settle gives none."""
         parts = [p.strip() for p in PARTS.split(fold(value or "")) if p.strip()]
@@ -84,13 +93,13 @@ class Matcher:
             return -1, NONE
         said = {p.strip(" .") for p in parts} & self.places
         texts = [spelled(p) for p in parts]
-        texts += [f"{b} {a}" for a, b in zip(texts, texts[1:], strict=False) if b.endswith(" of")] + ([" ".join(texts)] if len(texts) > 1 else [])
-        for most in range(self.edits + 1):
-            found = {(k, key) for t in texts if t not in self.places and (not most or len(t) >= LEAST_FUZZY) for k, name in self.tree.within(t, most) for key in self.tree.ids[name]}
-            if got := self._one(found, said, False):
-                return got
+        texts += [f"{b} {a}" for a, b in zip(texts, texts[1:], strict=False) if b.endswith(" of")] + [f"{a} {b}" for a, b in zip(texts, texts[1:], strict=False) if a.endswith((" and", " &")) or b.startswith("and ")]
+        texts = [t for t in texts if t not in self.places]
+        for found in ({(0, key) for t in texts for key in self.tree.ids.get(t, ())}, None):
+            if found is None:
+                found = {(k, key) for t in texts for k, name in self.near(t) for key in self.tree.ids[name]}
             if found:
-                return -1, NONE
+                return self._one(found, said, False) or (-1, NONE)
         short = {(self.edits + 1, key) for p in parts for key in self.by_initials.get(p.replace(".", "").replace(" ", ""), ()) if len(p.replace(".", "")) >= 3}
         return self._one(short, said, True) or (-1, NONE)
 
@@ -105,6 +114,12 @@ class Matcher:
         return nearest[0] if len(nearest) == 1 else None
 
 
+@lru_cache(maxsize=2)
+def _matcher(entries: tuple[tuple[int, str, str], ...], edits: int) -> Matcher:
+    """Built once in each Python worker."""
+    return Matcher(list(entries), edits)
+
+
 def mapped(values: DataFrame, reference: DataFrame, key: str = "institution_id", name: str = "canonical", place: str = "city", edits: int = EDITS, shard: int = SHARD_ENTRIES) -> DataFrame:
     """``value, times, entry, edits`` for distinct values and how often they occur: the entry meant, or NONE.
 
@@ -117,10 +132,10 @@ def mapped(values: DataFrame, reference: DataFrame, key: str = "institution_id",
     found = None
     for i in range(shards):
         own = rows if shards == 1 else rows.filter(F.pmod(F.xxhash64("k"), F.lit(shards)) == i)
-        entries = [(r.k, r.n, r.p) for r in own.collect()]  # about SHARD_ENTRIES at most
+        entries = tuple((r.k, r.n, r.p) for r in own.collect())  # about SHARD_ENTRIES at most
 
         def run(batches: Iterator[pd.DataFrame], entries=entries) -> Iterator[pd.DataFrame]:
-            matcher = Matcher(entries, edits)
+            matcher = _matcher(entries, edits)
             for batch in batches:
                 got = [matcher.best(v) for v in batch["value"]]
                 yield pd.DataFrame({"value": batch["value"], "times": batch["times"], "entry": [g[1] for g in got], "edits": [g[0] for g in got]})
