@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import canonical, format_duplicates, fusion, mixing, packing, repetition, subjects
+from sluiceway.llm import canonical, format_duplicates, fusion, mixing, packing, repetition, subjects, variants
 from sluiceway.session import table
 
 
@@ -15,6 +15,21 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return format_duplicates.copies(lines.unionByName(records), within="table_name").select("table_name", "first_id", "copy_id")
 
 
+def typed_names(spark: SparkSession, d: str) -> DataFrame:
+    """Every string in the three fields of problem 1, as ``name``."""
+    authors = table(spark, d, "all_metadata").select(F.explode("authors").alias("name"))
+    roster = table(spark, d, "employees")
+    return authors.unionByName(roster.select(F.col("employee_name").alias("name"))).unionByName(roster.select(F.col("employee_alternate_name").alias("name")))
+
+
+def p1_clusters(spark: SparkSession, d: str) -> DataFrame:
+    return variants.clusters(typed_names(spark, d))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return variants.variants(p1_clusters(spark, d)).select("name_a", "name_b")
+
+
 def p2_mapping(spark: SparkSession, d: str) -> DataFrame:
     return canonical.canonicalized(table(spark, d, "all_metadata"), table(spark, d, "institutions"))
 
@@ -71,6 +86,7 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found, "p1_clusters": p1_clusters,
     "p2_found": p2_found, "p2_report": p2_report,
     "p3_found": p3_found, "p3_survivors": p3_survivors, "p4_found": p4_found, "p5_found": p5_found, "p5_composition": p5_composition,
     "p8_packed": p8_packed, "p8_report": p8_report,
