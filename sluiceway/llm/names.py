@@ -41,6 +41,9 @@ def fold(text: str) -> str:
 def group_words(text: str) -> list[str] | None:
     """The words of a group's name in one spelling; null for a person's."""
     bare = re.sub(r"\([^()]*\)", " ", text.casefold())
+    kind, of, topic = bare.partition(" of the ")
+    if of and GROUP.intersection(re.findall(r"[a-z]+", kind)):  # "Working Group of the X" is the "X Working Group"
+        bare = f"{topic} {kind}"
     words = [GROUP_SHORT.get(w, w) for w in re.findall(r"[^\W\d_]+|&", bare)]
     if len(words) >= 3 and GROUP.intersection(words):
         return [w for w in words if w not in ("the", "of", "and", "for")]
@@ -66,6 +69,8 @@ def split_name(text: str, given: frozenset[str] = frozenset()) -> tuple[str, tup
     short = lambda w: len(w) == 1 or (len(w) <= 3 and w.isupper() and not re.search(r"[AEIOUY]", w[1:]) or len(w) == 2 and w.isupper())
     spread = lambda ws, loud: tuple(x for w in ws for x in (list(w.casefold()) if short(w) and not loud else [w.casefold()]))
     loud = all(w.isupper() for p in parts for w in p)
+    if len(parts) == 1 and len(parts[0]) == 2 and len(parts[0][1]) == 2 and text == text.lower() and len(parts[0][0]) > 3:
+        return parts[0][0].casefold(), tuple(parts[0][1].casefold()), True  # "smith jk"
     if len(parts) > 1:
         return "".join(parts[0]).casefold(), spread([w for p in parts[1:] for w in p], loud and max(len(w) for p in parts[1:] for w in p) > 3), True
     words = parts[0]
@@ -109,6 +114,8 @@ def token_similarity(a: str, b: str) -> float:
     fa, fb = NICKNAMES.get(a, a), NICKNAMES.get(b, b)
     if fa == fb:
         return 1.0
+    if NICKNAMES.get(a[:-1]) == fb or NICKNAMES.get(b[:-1]) == fa:  # an initial stuck to it
+        return 0.95
     if len(a) == 1 or len(b) == 1:
         return 0.9 if a[0] == b[0] or fa[0] == fb[0] else 0.0
     s = max(1 - osa(a, b) / max(len(a), len(b)), 1 - osa(fa, fb) / max(len(fa), len(fb)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import canonical, format_duplicates, fusion, mixing, packing, repetition, subjects, variants
+from sluiceway.llm import canonical, format_duplicates, fusion, linking, mixing, packing, repetition, subjects, variants
 from sluiceway.session import table
 
 
@@ -14,6 +14,9 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     records = table(spark, d, "all_metadata").select(F.lit("all_metadata").alias("table_name"), F.col("record_id").alias("id"), F.col("doi").alias("value"))
     return format_duplicates.copies(lines.unionByName(records), within="table_name").select("table_name", "first_id", "copy_id")
 
+#: The employer whose roster `employees` is.
+AGENCY = "Halvern Department of Water Stewardship"
+
 
 def typed_names(spark: SparkSession, d: str) -> DataFrame:
     """Every string in the three fields of problem 1, as ``name``."""
@@ -61,6 +64,14 @@ def p5_composition(spark: SparkSession, d: str) -> DataFrame:
     return subjects.composition(areas, table(spark, d, "disciplines_taxonomy"))
 
 
+def p6_linked(spark: SparkSession, d: str) -> DataFrame:
+    return linking.linked(table(spark, d, "all_metadata"), table(spark, d, "employees"), AGENCY)
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return p6_linked(spark, d).select("roster_id", "record_id")
+
+
 def p8_packed(spark: SparkSession, d: str) -> DataFrame:
     return packing.packed(table(spark, d, "documents"), table(spark, d, "container_sizes"))
 
@@ -89,6 +100,7 @@ QUERIES = {
     "p1_found": p1_found, "p1_clusters": p1_clusters,
     "p2_found": p2_found, "p2_report": p2_report,
     "p3_found": p3_found, "p3_survivors": p3_survivors, "p4_found": p4_found, "p5_found": p5_found, "p5_composition": p5_composition,
+    "p6_found": p6_found, "p6_linked": p6_linked,
     "p8_packed": p8_packed, "p8_report": p8_report,
     "p9_mixed": p9_mixed, "p9_shares": p9_shares, "p10_found": p10_found, "p10_shares": p10_shares,
 }

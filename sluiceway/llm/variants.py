@@ -66,7 +66,8 @@ def keyed(names: DataFrame, given: frozenset[str]) -> DataFrame:
             rows = []
             for name in batch["name"]:
                 if words := N.group_words(N.fold(name)):
-                    rows.append((name, "g|" + " ".join(words), N.initials_of(words) + "|" + words[0], words[0]))
+                    node = "g|" + " ".join(words)
+                    rows += [(name, node, f"{N.initials_of(words)}|{words[0]}", words[0]), (name, node, f"{words[1][0]}|{words[0]}", words[0]), (name, node, f"|{N.initials_of(words)}", N.initials_of(words))]
                     continue
                 surname, own, sure = N.split_name(name, given)
                 if not surname:
@@ -101,10 +102,18 @@ def banded(entries: DataFrame, likeness: float = LIKENESS, recall: float = RECAL
     return entries.select("entry", "surname").mapInPandas(run, "entry string, band bigint")
 
 
+def _shortened(group: str, other: str) -> float:
+    """Likeness of a group's name and its short form, "First XYZ" or its initials."""
+    words, (_, surname, given) = group[2:].split(" "), other.split("|")
+    if not given:
+        return 0.9 if surname == N.initials_of(words) else 0.0
+    return 0.9 * N.token_similarity(words[0], surname) if "".join(given.split()) == N.initials_of(words[1:]) else 0.0
+
+
 def _likeness(a: str, b: str) -> float:
     if a[0] == "g" or b[0] == "g":
         if a[0] != b[0]:
-            return 0.0
+            return _shortened(*((a, b) if a[0] == "g" else (b, a)))
         x, y = tuple(a[2:].split(" ")), tuple(b[2:].split(" "))
         return N.monge_elkan(x, y) if len(x) == len(y) and all(N.token_similarity(i, j) >= 0.65 for i, j in zip(x, y, strict=True)) else 0.0
     (_, sa, ga), (_, sb, gb) = a.split("|"), b.split("|")
@@ -151,7 +160,8 @@ def stars(edges: DataFrame) -> DataFrame:
     """
     both = edges.select(F.col("a").alias("node"), F.col("b").alias("peer"), "score").unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("peer"), "score"))
     degree = both.groupBy("node").agg(F.count("*").alias("links"))
-    rank = lambda c: F.struct((-F.col("links")).alias("l"), F.length(c).alias("n") * -1, c.alias("c"))
+    # a bare word, such as initials that several groups share, becomes a centre last
+    rank = lambda c: F.struct(c.rlike(r"^p\|[^|]*\|$").alias("bare"), (-F.col("links")).alias("l"), (-F.length(c)).alias("n"), c.alias("c"))
     ranked = degree.select("node", rank(F.col("node")).alias("rank"))
     both = cut(both.join(ranked, "node").join(ranked.select(F.col("node").alias("peer"), F.col("rank").alias("peer_rank")), "peer"))
     free, centres = both, None
@@ -166,7 +176,7 @@ def stars(edges: DataFrame) -> DataFrame:
     if centres is None:
         return both.selectExpr("node", "peer centre", "score").limit(0)
     leaves = both.join(centres, both["peer"] == centres["centre"]).join(centres.select(F.col("centre").alias("node")), "node", "left_anti")
-    joined = leaves.groupBy("node").agg(F.max(F.struct("score", F.col("peer_rank.l").alias("l"), F.col("centre"))).alias("x")).select("node", "x.centre", "x.score")
+    joined = leaves.groupBy("node").agg(F.max(F.struct("score", (-F.col("peer_rank.l")).alias("l"), F.col("centre"))).alias("x")).select("node", "x.centre", "x.score")
     own = centres.select(F.col("centre").alias("node"), "centre", F.lit(1.0).alias("score"))
     rest = degree.select("node").join(own.select("node").unionByName(joined.select("node")), "node", "left_anti").select("node", F.col("node").alias("centre"), F.lit(1.0).alias("score"))
     return own.unionByName(joined).unionByName(rest)
