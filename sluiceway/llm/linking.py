@@ -1,10 +1,11 @@
 """Problem 6: matching entities across sources without keys, by graph embeddings and hyperplane hashing.
 
-Names of both sources hang in a graph of records, attributes (given names, surname) and tokens
-(q-grams and initials). Random walks over it train skip-gram vectors of the tokens; a name's vector
-is the rarity-weighted sum of its tokens'. Names whose vectors share a bucket in one of several
-tables of hyperplane signs are compared exactly, and a logistic curve turns the cosine of a match
-into a confidence. Years and what a record says of the author's employer must agree as well.
+Names of both sources hang in a graph of records, attributes (initial and surname) and tokens
+(q-grams). Random walks over it train skip-gram vectors of the tokens; an attribute's vector is the
+rarity-weighted sum of its tokens'. Attributes of one initial whose vectors share a bucket in one of
+several tables of hyperplane signs bring their names together, which are compared exactly, and a
+logistic curve turns the cosine of a match into a confidence. Years and what a record says of the
+author's employer must agree as well.
 """
 
 from __future__ import annotations
@@ -18,11 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.llm import names as N
-from sluiceway.llm.variants import hash_of
+from sluiceway.llm.variants import hash_of, keyed
 from sluiceway.session import cut
 
-#: Names at most that the vectors are trained on; the signs of how many planes make a bucket, in how many tables.
-SAMPLE, PLANES, TABLES = 8000, 10, 28
+#: Attributes at most that the vectors are trained on; the signs of how many planes make a bucket, in how many tables.
+SAMPLE, PLANES, TABLES = 8000, 9, 26
 TRAINED, IDENTITY, WALKS, WALK_LENGTH, WINDOW, NEGATIVES = 24, 72, 6, 8, 2, 4
 ALIKE = 0.74
 #: Confidence in the employer if the record doesn't name it for this author but for some author.
@@ -31,17 +32,13 @@ SEED = 11
 YEAR = r"(?:19|20)[0-9]{2}"
 
 
-def tokens(name: str, given: frozenset[str]) -> list[tuple[str, float]]:
-    """(token, attribute weight) of a name: q-grams of the surname, first initial, given names."""
-    surname, own, _ = N.split_name(name, given)
+def tokens(entry: str) -> list[tuple[str, float]]:
+    """(token, weight) of an attribute "initial|surname": q-grams of the surname."""
+    surname = entry.partition("|")[2]
     if not surname:
         return []
     padded = f"^{surname}$"
-    out = [("s" + padded[i : i + 2], 1.0) for i in range(len(padded) - 1)] + [("S" + padded[i : i + 3], 0.7) for i in range(len(padded) - 2)]
-    if own:
-        full = N.NICKNAMES.get(own[0], own[0])
-        out += [("i" + full[0], 2.0)] + ([("g" + full, 0.4)] if len(full) > 1 else [])
-    return out
+    return [("s" + padded[i : i + 2], 1.0) for i in range(len(padded) - 1)] + [("S" + padded[i : i + 3], 0.7) for i in range(len(padded) - 2)]
 
 
 @dataclass
@@ -51,7 +48,6 @@ class Vectors:
     row: dict[str, int]
     trained: np.ndarray
     rarity: np.ndarray
-    given: frozenset[str]
     default: float
     cache: dict[str, np.ndarray] = field(default_factory=dict)
 
@@ -64,25 +60,26 @@ class Vectors:
             v = self.cache[t] = np.concatenate([0.5 * known, own]) * (self.rarity[i] if i >= 0 else self.default)
         return v
 
-    def of(self, names: list[str]) -> np.ndarray:
-        """Unit vectors of names; zero for names without letters."""
-        out = np.zeros((len(names), TRAINED + IDENTITY))
-        for i, name in enumerate(names):
-            for t, w in tokens(name, self.given):
+    def of(self, entries: list[str]) -> np.ndarray:
+        """Unit vectors of attributes; zero for those without letters."""
+        out = np.zeros((len(entries), TRAINED + IDENTITY))
+        for i, entry in enumerate(entries):
+            for t, w in tokens(entry):
                 out[i] += w * self.token(t)
         norm = np.linalg.norm(out, axis=1, keepdims=True)
         return out / np.where(norm > 0, norm, 1)
 
-    def buckets(self, names: list[str], planes: int = PLANES, tables: int = TABLES) -> np.ndarray:
-        """The bucket of each name in each table."""
+    def buckets(self, entries: list[str], planes: int = PLANES, tables: int = TABLES) -> np.ndarray:
+        """The bucket of each attribute in each table, apart for each initial."""
         normal = np.random.default_rng(SEED).standard_normal((TRAINED + IDENTITY, planes * tables))
-        signs = (self.of(names) @ normal > 0).reshape(len(names), tables, planes)
-        return signs @ (1 << np.arange(planes)) + (np.arange(tables) << planes)
+        signs = (self.of(entries) @ normal > 0).reshape(len(entries), tables, planes)
+        apart = np.array([hash_of(e.partition("|")[0]) % 2**31 for e in entries], np.int64)
+        return (signs @ (1 << np.arange(planes)) + (np.arange(tables) << planes)) + (apart[:, None] << 32)
 
 
-def train(names: list[str], given: frozenset[str]) -> Vectors:
-    """Skip-gram vectors with negative sampling, from random walks token - name - token over the sample of names."""
-    held = [[t for t, _ in tokens(n, given)] for n in names]
+def train(entries: list[str]) -> Vectors:
+    """Skip-gram vectors with negative sampling, from random walks token - attribute - token over the sample."""
+    held = [[t for t, _ in tokens(e)] for e in entries]
     held = [h for h in held if h]
     row: dict[str, int] = {}
     for h in held:
@@ -90,7 +87,7 @@ def train(names: list[str], given: frozenset[str]) -> Vectors:
             row.setdefault(t, len(row))
     k = len(row)
     if not k:
-        return Vectors({}, np.zeros((0, TRAINED)), np.zeros(0), given, 1.0)
+        return Vectors({}, np.zeros((0, TRAINED)), np.zeros(0), 1.0)
     rng = np.random.default_rng(SEED)
     sizes = np.array([len(h) for h in held])
     flat = np.array([row[t] for h in held for t in h])
@@ -120,44 +117,47 @@ def train(names: list[str], given: frozenset[str]) -> Vectors:
         np.add.at(outer, target.ravel(), 0.05 * (g[:, :, None] * v[:, None, :]).reshape(-1, TRAINED))
     inner /= np.maximum(np.linalg.norm(inner, axis=1, keepdims=True), 1e-9)
     rarity = np.log1p(len(held) / count)
-    return Vectors(row, inner, rarity / rarity.mean(), given, float(rarity.max() / rarity.mean()))
+    return Vectors(row, inner, rarity / rarity.mean(), float(rarity.max() / rarity.mean()))
 
 
-def trained(names: DataFrame, sample: int = SAMPLE) -> Vectors:
-    """Vectors from at most ``sample`` names, chosen by hash; counts of given names cover all."""
-    few = names.select("name").orderBy(F.xxhash64("name"), "name").limit(sample)
-    return train([r.name for r in few.collect()], N.given_names(names))
+def trained(entries: DataFrame, sample: int = SAMPLE) -> Vectors:
+    """Vectors from at most ``sample`` attributes, chosen by hash."""
+    few = entries.select("entry").orderBy(F.xxhash64("entry"), "entry").limit(sample)
+    return train([r.entry for r in few.collect()])
 
 
-def hashed(names: DataFrame, vectors: Vectors) -> DataFrame:
-    """``name, bucket``: a row for each table."""
+def hashed(entries: DataFrame, vectors: Vectors) -> DataFrame:
+    """``entry, bucket``: a row for each table."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            b = vectors.buckets(list(batch["name"]))
-            yield pd.DataFrame({"name": np.repeat(batch["name"].to_numpy(), b.shape[1]), "bucket": b.ravel().astype(np.int64)})
+            b = vectors.buckets(list(batch["entry"]))
+            yield pd.DataFrame({"entry": np.repeat(batch["entry"].to_numpy(), b.shape[1]), "bucket": b.ravel().astype(np.int64)})
 
-    return names.select("name").mapInPandas(run, "name string, bucket bigint")
+    return entries.select("entry").mapInPandas(run, "entry string, bucket bigint")
 
 
-def compared(pairs: DataFrame, vectors: Vectors, least: float = 0.0) -> DataFrame:
-    """``a, b, cosine, likeness`` of candidate pairs."""
+def compared(pairs: DataFrame, vectors: Vectors, given: frozenset[str], least: float = 0.0) -> DataFrame:
+    """``a, b, cosine, likeness`` of candidate pairs of names and their attributes, ``a, b, entry_a, entry_b``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            split = {n: N.split_name(n, vectors.given)[:2] for n in {*batch["a"], *batch["b"]}}
+            split = {n: N.split_name(n, given)[:2] for n in {*batch["a"], *batch["b"]}}
             like = np.array([N.alike(split[a], split[b]) for a, b in zip(batch["a"], batch["b"], strict=True)], float)
             batch = batch.assign(likeness=like)[like >= least]
-            cosine = (vectors.of(list(batch["a"])) * vectors.of(list(batch["b"]))).sum(axis=1)
+            own = sorted({*batch["entry_a"], *batch["entry_b"]})
+            at = {e: i for i, e in enumerate(own)}
+            v = vectors.of(own)
+            cosine = (v[[at[e] for e in batch["entry_a"]]] * v[[at[e] for e in batch["entry_b"]]]).sum(axis=1)
             yield batch.assign(cosine=cosine)[["a", "b", "cosine", "likeness"]]
 
-    return pairs.select("a", "b").mapInPandas(run, "a string, b string, cosine double, likeness double")
+    return pairs.select("a", "b", "entry_a", "entry_b").mapInPandas(run, "a string, b string, cosine double, likeness double")
 
 
-def calibration(pairs: DataFrame, vectors: Vectors, most: int = 20_000) -> tuple[float, float]:
+def calibration(pairs: DataFrame, vectors: Vectors, given: frozenset[str], most: int = 20_000) -> tuple[float, float]:
     """Intercept and slope of a logistic curve: how probably a candidate pair of a cosine is a match by exact comparison. Fitted on at most ``most`` candidates."""
-    few = pairs.select("a", "b").orderBy(F.xxhash64("a", "b")).limit(most)
-    rows = compared(few.repartition(16), vectors).select("cosine", "likeness").toPandas()
+    few = pairs.orderBy(F.xxhash64("a", "b")).limit(most)
+    rows = compared(few.repartition(16), vectors, given).select("cosine", "likeness").toPandas()
     x, y = rows["cosine"].to_numpy(), (rows["likeness"] >= ALIKE).to_numpy(float)
     if y.sum() < 3 or y.sum() > len(y) - 3:
         return -6.0, 12.0
@@ -194,11 +194,17 @@ def linked(records: DataFrame, roster: DataFrame, agency: str, key: str = "recor
     typed = F.array_distinct(F.concat(F.when(F.col(name).isNotNull(), F.array(F.col(name))).otherwise(F.array().cast("array<string>")), alternates))
     staff = roster.select(F.col(roster_key).alias("row"), F.expr(f"try_cast(nullif(regexp_extract(cast(`{roster_year}` as string), '{YEAR}', 0), '') as int)").alias("year"), F.explode(typed).alias("a")).filter("year is not null")
     left, right = staff.select(F.col("a").alias("name")).distinct(), own.select("name").distinct()
-    vectors = trained(left.unionByName(right).distinct())
-    a, b = hashed(left, vectors).withColumnRenamed("name", "a"), hashed(right, vectors).withColumnRenamed("name", "b")
-    near = cut(a.join(b, "bucket").select("a", "b").distinct())
-    intercept, slope = calibration(near, vectors)
-    same = compared(near, vectors, ALIKE).withColumn("confidence", 1 / (1 + F.exp(-(F.lit(intercept) + F.lit(slope) * F.col("cosine")))))
+    given = N.given_names(left.unionByName(right).distinct())
+    left, right = cut(keyed(left, given)).select("name", "entry"), cut(keyed(right, given)).select("name", "entry")
+    vectors = trained(left.unionByName(right).select("entry").distinct())
+    a, b = hashed(left.select("entry").distinct(), vectors).withColumnRenamed("entry", "entry_a"), hashed(right.select("entry").distinct(), vectors).withColumnRenamed("entry", "entry_b")
+    surname = lambda c: F.substring_index(c, "|", -1)
+    apart = F.levenshtein(surname("entry_a"), surname("entry_b"))  # a swap, one slip, counts as two here
+    close = apart <= F.when(F.least(F.length(surname("entry_a")), F.length(surname("entry_b"))) >= 8, 4).otherwise(2)
+    near = cut(a.join(b, "bucket").select("entry_a", "entry_b").distinct().filter(close))
+    pairs = near.join(left.select(F.col("name").alias("a"), F.col("entry").alias("entry_a")), "entry_a").join(right.select(F.col("name").alias("b"), F.col("entry").alias("entry_b")), "entry_b")
+    intercept, slope = calibration(pairs, vectors, given)
+    same = compared(pairs, vectors, given, ALIKE).groupBy("a", "b").agg(F.max("cosine").alias("cosine")).withColumn("confidence", 1 / (1 + F.exp(-(F.lit(intercept) + F.lit(slope) * F.col("cosine")))))
     salts = 16
     who = staff.join(same, "a").groupBy("row", "year", "b").agg(F.max("confidence").alias("confidence"))
     busy = own.groupBy("name", "year").agg(F.count("*").alias("n")).filter("n >= 20000").orderBy(F.desc("n"), "name", "year").limit(1000).select("name", "year", F.lit(True).alias("busy"))
