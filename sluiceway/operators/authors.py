@@ -77,7 +77,7 @@ def openalex_author_names(authorships: Column) -> Column:
 
 def affiliation_values(works: DataFrame, column: str) -> DataFrame:
     """``original``: the squished distinct affiliations of all works, the keys of the lookup."""
-    return works.select(squish(F.explode(column)).alias("original")).filter("original <> ''").distinct()
+    return works.select(F.explode(column).alias("v")).select(squish(F.col("v")).alias("original")).filter("original <> ''").distinct()
 
 
 def _canonical(rows: DataFrame, lookup: DataFrame, value: str) -> DataFrame:

@@ -49,7 +49,7 @@ def roster_index(roster: DataFrame, name: str = "employee_name", alternate: str
         raise ValueError(f"the roster lacks {sorted(missing)}")
     others = F.transform(split_alternates(F.coalesce(F.col(alternate), F.lit(""))), simple_name)
     names = F.array_distinct(F.filter(F.concat(F.array(simple_name(F.col(name))), others), lambda v: v.isNotNull()))
-    out = roster.select(F.col(order).alias("place"), F.col(division).alias("division"), F.trim(F.col(year)).try_cast("int").alias("year"), names.alias("candidates"))
+    out = roster.select(F.col(order).alias("place"), F.col(division).alias("division"), F.trim(F.col(year)).try_cast("double").try_cast("int").alias("year"), names.alias("candidates"))
     return out.withColumn("last_names", F.array_distinct(F.transform("candidates", last_token)))
 
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluiceway.functions.text import title_case, trimws
+
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A CSV file with a header; a byte order mark is dropped, fields are trimmed, doubled quotes are one."""
-    return spark.read.schema(schema).options(header=True, escape='"', multiLine=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True).csv(path)
+    rows = spark.read.schema(schema).options(header=True, escape='"', multiLine=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True).csv(path)
+    return rows.withColumns({c: trimws(F.col(c)) for c, kind in rows.dtypes if kind == "string"})
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -26,6 +29,4 @@ def read_snapshot(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def title_cased(roster: DataFrame, columns: list[str]) -> DataFrame:
     """Distinct roster rows with names in title case."""
-    from sluiceway.functions.text import title_case
-
     return roster.withColumns({c: title_case(F.col(c)) for c in columns}).distinct()
