@@ -53,7 +53,7 @@ def spelled(part: str) -> str:
     words = [ABBREVIATIONS.get(w, w) for w in words]
     if words[:1] == ["the"]:
         words = words[1:]
-    if words[:1] == ["university"] and len(words) == 2:
+    if words[:1] == ["university"] and len(words) == 2 and words[1] != "of":
         words.insert(1, "of")
     return " ".join(words)
 

@@ -112,7 +112,7 @@ def train(entries: list[str]) -> Vectors:
         negatives = rng.choice(k, (len(c), NEGATIVES), p=noise)
         target = np.concatenate([o[:, None], negatives], axis=1)
         v, u = inner[c], outer[target]
-        g = (np.arange(NEGATIVES + 1) == 0) - 1 / (1 + np.exp(-np.einsum("nd,nkd->nk", v, u)))
+        g = (np.arange(NEGATIVES + 1) == 0) - 1 / (1 + np.exp(-np.clip(np.einsum("nd,nkd->nk", v, u), -30, 30)))
         np.add.at(inner, c, 0.05 * np.einsum("nk,nkd->nd", g, u))
         np.add.at(outer, target.ravel(), 0.05 * (g[:, :, None] * v[:, None, :]).reshape(-1, TRAINED))
     inner /= np.maximum(np.linalg.norm(inner, axis=1, keepdims=True), 1e-9)
@@ -134,7 +134,8 @@ def hashed(entries: DataFrame, vectors: Vectors) -> DataFrame:
             b = vectors.buckets(list(batch["entry"]))
             yield pd.DataFrame({"entry": np.repeat(batch["entry"].to_numpy(), b.shape[1]), "bucket": b.ravel().astype(np.int64)})
 
-    return entries.select("entry").mapInPandas(run, "entry string, bucket bigint")
+    spread = max(2, int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # a set number, or few tasks would hash all
+    return entries.select("entry").repartition(spread, "entry").mapInPandas(run, "entry string, bucket bigint")
 
 
 def compared(pairs: DataFrame, vectors: Vectors, given: frozenset[str], least: float = 0.0) -> DataFrame:
@@ -201,7 +202,7 @@ def linked(records: DataFrame, roster: DataFrame, agency: str, key: str = "recor
     surname = lambda c: F.substring_index(c, "|", -1)
     apart = F.levenshtein(surname("entry_a"), surname("entry_b"))  # a swap, one slip, counts as two here
     close = apart <= F.when(F.least(F.length(surname("entry_a")), F.length(surname("entry_b"))) >= 8, 4).otherwise(2)
-    near = cut(a.join(b, "bucket").select("entry_a", "entry_b").distinct().filter(close))
+    near = cut(a.hint("merge").join(b, "bucket").select("entry_a", "entry_b").distinct().filter(close))
     pairs = near.join(left.select(F.col("name").alias("a"), F.col("entry").alias("entry_a")), "entry_a").join(right.select(F.col("name").alias("b"), F.col("entry").alias("entry_b")), "entry_b")
     intercept, slope = calibration(pairs, vectors, given)
     same = compared(pairs, vectors, given, ALIKE).groupBy("a", "b").agg(F.max("cosine").alias("cosine")).withColumn("confidence", 1 / (1 + F.exp(-(F.lit(intercept) + F.lit(slope) * F.col("cosine")))))
