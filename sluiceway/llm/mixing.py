@@ -20,6 +20,8 @@ from sluiceway.session import cut
 BLOCK, SHARD_BLOCKS, SEED = 256, 4096, 20240501
 #: Tokens in the runs that a source's blocks are cut from; a run is ordered by one task.
 RUN_TOKENS = 50_000_000
+#: Runs and output shards at most; beyond that they grow, so that the plan of the mixture stays a short list.
+MOST_RUNS, MOST_SHARDS = 4000, 10_000
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -57,11 +59,12 @@ def blocks(documents: DataFrame, sources: list[str], key: str, text: str, source
     own = documents.filter(F.col(source).isin(sources)).select(F.col(source).alias("source"), F.col(key).alias("doc"), tokens.token_count(F.col(text), path).alias("n"))
     own = cut(own.filter("n > 0"))
     totals = {r.source: r.n for r in own.groupBy("source").agg(F.sum("n").alias("n")).collect()}
-    runs = F.create_map(*(F.lit(x) for s in sources for x in (s, max(1, round(totals.get(s, 0) / RUN_TOKENS)))))
+    run_tokens = max(RUN_TOKENS, sum(totals.values()) / MOST_RUNS)
+    runs = F.create_map(*(F.lit(x) for s in sources for x in (s, max(1, round(totals.get(s, 0) / run_tokens)))))
     own = own.withColumn("run", F.pmod(F.xxhash64("doc", F.lit(SEED)), F.try_element_at(runs, "source")).cast("int"))
     order = Window.partitionBy("source", "run").orderBy(F.xxhash64(F.lit(SEED), "doc"), "doc").rowsBetween(Window.unboundedPreceding, -1)
     own = own.withColumn("start", F.coalesce(F.sum("n").over(order), F.lit(0)))
-    lengths = own.groupBy("source", "run").agg(F.sum("n").alias("n")).orderBy("source", "run").collect()  # a row for RUN_TOKENS tokens
+    lengths = own.groupBy("source", "run").agg(F.sum("n").alias("n")).orderBy("source", "run").collect()  # a row for each run
     first, have = {}, dict.fromkeys(sources, 0)
     for r in lengths:
         first[f"{r.source}\x1f{r.run}"] = have[r.source]
@@ -89,6 +92,7 @@ def plan(targets: list[tuple[str, float, int]], have: dict[str, int], slots: int
     for i in np.argsort(-(weight * n - want), kind="stable"):
         if want.sum() < n and want[i] < most[i]:
             want[i] += 1
+    per_shard = max(per_shard, -(-int(want.sum()) // MOST_SHARDS))
     rng, left, done, out = np.random.default_rng(seed), want.copy(), np.zeros_like(want), []
     shard = 0
     while left.sum():
