@@ -104,4 +104,17 @@ QUERIES = {
     "p8_packed": p8_packed, "p8_report": p8_report,
     "p9_mixed": p9_mixed, "p9_shares": p9_shares, "p10_found": p10_found, "p10_shares": p10_shares,
 }
-ORACLES: dict[str, str] = {}
+
+def _cores(name: str, key: str) -> str:
+    """The core of each DOI of a table, in SQL."""
+    plain = "url_decode(url_decode(replace(replace(doi, '+', '%2B'), '%25', '%')))"
+    plain = rf"regexp_replace({plain}, '[\p{{Cf}}\x00-\x08\x0e-\x1b\x7f-\x84\x86-\x9f]+', '', 'g')"
+    plain = rf"regexp_replace({plain}, '[\s\p{{Z}}]*([./_()\p{{Pd}}])[\s\p{{Z}}]*', '\1', 'g')"
+    found = rf"""regexp_extract({plain}, '(?:^|[^0-9.])10\.([0-9]{{4,9}})/+([^\s\p{{Z}}&;,"''“”‘’<>\[\]{{}}|?#=]+)', ['a', 'b'])"""
+    return rf"""select '{name}' as table_name, {key} as id, f.a || '/' || regexp_replace(lower(f.b), '[^\p{{L}}\p{{N}}]+', '', 'g') as core from (select {key}, {found} as f from {name} where doi is not null) where regexp_replace(f.b, '[^\p{{L}}\p{{N}}]+', '', 'g') <> ''"""
+
+
+ORACLES = {
+    "p4_found": f"""with c as ({_cores("dois_manual", "line_id")} union all {_cores("all_metadata", "record_id")}), g as (select *, min(id) over (partition by table_name, core) as first_id from c)
+    select table_name, first_id, id as copy_id from g where id <> first_id""",
+}
