@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Tokens at most that are known as given names; names of others are read both ways round where it matters.
 MOST_GIVEN = 5000
+#: Letters from which a word may be two edits from its like, not one.
+TWO_SLIPS = 8
 
 NICKNAMES = {
     nick: full
@@ -66,7 +68,7 @@ def split_name(text: str, given: frozenset[str] = frozenset()) -> tuple[str, tup
     parts = [p for p in parts if p]
     if not parts:
         return "", (), True
-    short = lambda w: len(w) == 1 or (len(w) <= 3 and w.isupper() and not re.search(r"[AEIOUY]", w[1:]) or len(w) == 2 and w.isupper())
+    short = lambda w: len(w) == 1 or (len(w) <= 5 and w.isupper() and not re.search(r"[AEIOUY]", w[1:]) or len(w) == 2 and w.isupper())
     spread = lambda ws, loud: tuple(x for w in ws for x in (list(w.casefold()) if short(w) and not loud else [w.casefold()]))
     loud = all(w.isupper() for p in parts for w in p)
     if len(parts) == 1 and len(parts[0]) == 2 and len(parts[0][1]) == 2 and text == text.lower() and len(parts[0][0]) > 3:
@@ -118,10 +120,20 @@ def token_similarity(a: str, b: str) -> float:
         return 0.95
     if len(a) == 1 or len(b) == 1:
         return 0.9 if a[0] == b[0] or fa[0] == fb[0] else 0.0
-    s = max(1 - osa(a, b) / max(len(a), len(b)), 1 - osa(fa, fb) / max(len(fa), len(fb)))
+    s = max(_by_edits(a, b), _by_edits(fa, fb))
     return s if s >= 0.65 else 0.0
 
 
+def slips(a: str, b: str) -> int:
+    """Edits that two spellings of one word of this length may be apart."""
+    return 2 if min(len(a), len(b)) >= TWO_SLIPS else 1
+
+
+def _by_edits(a: str, b: str) -> float:
+    d = osa(a, b, 2)
+    return 1 - d / max(len(a), len(b)) if d <= slips(a, b) else 0.0
+
+
 def monge_elkan(a: tuple[str, ...], b: tuple[str, ...]) -> float:
     """The mean, over the tokens of the shorter name, of each one's best likeness in the other."""
     if len(a) > len(b):
@@ -133,7 +145,7 @@ def alike(a: tuple[str, tuple[str, ...]], b: tuple[str, tuple[str, ...]]) -> flo
     """Monge-Elkan likeness of two split names; 0 if surnames or first given names contradict each other."""
     (sa, ga), (sb, gb) = a, b
     d = osa(sa, sb, 2)
-    if d > (2 if min(len(sa), len(sb)) >= 8 else 1):
+    if d > slips(sa, sb):
         return 0.0
     surname = 1 - d / max(len(sa), len(sb))
     if not ga or not gb:
