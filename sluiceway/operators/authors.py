@@ -46,6 +46,19 @@ def crossref_authors(author: Column, compat: bool = False) -> Column:
     return F.transform(author, one)
 
 
+def scalar_affiliations(a: Column, fields: list[str]) -> Column:
+    """Affiliations of an author that stand in fields of their own (affiliation1, affiliation_name, ...), trimmed, without blank ones."""
+    return distinct_text(F.array(*(a[f].cast("string") for f in fields if f.lower().startswith("affiliation"))))
+
+
+def normalized_authors(works: DataFrame, column: str = "author", compat: bool = False) -> DataFrame:
+    """The column in normalised form; one that is normalised already, by its schema, is left alone."""
+    element = works.schema[column].dataType.elementType
+    if "author_name" in element.names or "author_affiliation" in element.names:
+        return works
+    return works.withColumn(column, crossref_authors(F.col(column), compat))
+
+
 def crossref_author_names(author: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(filled(author, "array<struct<name:string,literal:string,given:string,family:string,affiliation:array<string>>>"), crossref_name), lambda n: n.isNotNull()))
 

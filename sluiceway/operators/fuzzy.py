@@ -120,3 +120,25 @@ def annotate_divisions(works: DataFrame, roster: DataFrame, pattern: str, flag:
     people = out.filter(F.col(f"{prefix}_author").isNotNull()).select(F.col(f"{prefix}_author").alias("name"), F.col("publication_year").alias("year"))
     best = cut(matched(people, roster_index(roster, **columns), max_year_gap, max_distance)).select(F.col("name").alias("_name"), F.col("year").alias("_year"), F.col("division").alias(f"{prefix}_author_division"))
     return out.join(best, (F.col(f"{prefix}_author") == F.col("_name")) & F.col("publication_year").eqNullSafe(F.col("_year")), "left").drop("_name", "_year")
+
+
+#: One hand-made override: DOI, author, position and, if the author is to be matched by another year than the row's, that year.
+Override = tuple[str, str, int, int | None]
+
+
+def override_first_affiliated(works: DataFrame, roster: DataFrame, overrides: list[Override], key: str = "record_id", prefix: str = "first_affiliated", max_year_gap: int = 1, max_distance: float = 0.3, **columns: str) -> DataFrame:
+    """Sets author and position by hand and matches the division anew. Of several rows with a DOI the one with the smallest ``key`` is meant; the last override of a DOI wins."""
+    spark = works.sparkSession
+    last = {doi: (doi, author, position, year) for doi, author, position, year in overrides}
+    if not last:
+        return works
+    made = spark.createDataFrame(list(last.values()), "_doi string, _author string, _position int, _year int")
+    first = works.filter(F.col("doi").isin(list(last))).groupBy("doi").agg(F.min(key).alias("_key"))
+    meant = first.join(F.broadcast(made), F.col("doi") == F.col("_doi")).drop("doi", "_doi")  # a row for each override
+    out = works.join(F.broadcast(meant), F.col(key) == F.col("_key"), "left").withColumn("_year", F.coalesce("_year", F.col("publication_year")))
+    people = out.filter("_key is not null").select(F.col("_author").alias("name"), F.col("_year").alias("year"))
+    best = matched(people, roster_index(roster, **columns), max_year_gap, max_distance).select(F.col("name").alias("_name"), F.col("year").alias("_matched_year"), F.col("division").alias("_division"))
+    out = out.join(F.broadcast(best), (F.col("_author") == F.col("_name")) & F.col("_year").eqNullSafe(F.col("_matched_year")), "left")
+    changed = F.col("_key").isNotNull()
+    out = out.withColumns({f"{prefix}_author": F.when(changed, F.col("_author")).otherwise(F.col(f"{prefix}_author")), f"{prefix}_author_position": F.when(changed, F.col("_position")).otherwise(F.col(f"{prefix}_author_position")), f"{prefix}_author_division": F.when(changed, F.col("_division")).otherwise(F.col(f"{prefix}_author_division"))})
+    return out.select(*works.columns)

@@ -124,6 +124,12 @@ def offline_lookup(values: DataFrame, cached: DataFrame | None = None, **agency)
     return staged.select("original", institutions.output_form(institutions.finalized(F.col("raw"), **agency)).alias("canonical"))
 
 
+def canonicalized(values: DataFrame, factory: Callable[[], Client], limits: Limits = Limits(10, 200, 2, 2.0), size: int = 10, **agency) -> DataFrame:
+    """``original, canonical``: the lookup of distinct affiliations, asked in groups; see ``resolved`` for what follows."""
+    prompts = group_prompts(values, size).select("key", "prompt")
+    return resolved(values, group_answers(asked(prompts, factory, limits)), **agency)
+
+
 # Subject areas of articles
 
 
@@ -167,3 +173,9 @@ def classified(answers: DataFrame, areas: DataFrame, key: str = "doi", raw: bool
     known = F.broadcast(taxonomy(areas).select(F.col("second_level").alias("_area"), "first_level"))  # a fixed short list
     out = x.join(known, F.col("x.second_level") == F.col("_area"), "left")
     return out.select(F.col(key), F.col("_area").alias("second_level"), "first_level", clamped(F.col("x.confidence").try_cast("double")).alias("confidence"), note(F.col("x.note")).alias("note"), *([F.col("answer").alias("raw_response")] if raw else []))
+
+
+def classify(rows: DataFrame, areas: DataFrame, factory: Callable[[], Client], limits: Limits = Limits(), key: str = "doi", raw: bool = False) -> DataFrame:
+    """Asks for the area of each article (``key, title, abstract``); see ``classified``. A failed prompt gives nulls."""
+    prompts = rows.select(F.col(key).alias("key"), article_prompt(F.coalesce("title", F.lit("")), F.col("abstract"), taxonomy_prompt(areas)).alias("prompt"))
+    return classified(asked(prompts, factory, limits).withColumnRenamed("key", key), areas, key, raw)

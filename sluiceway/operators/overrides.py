@@ -51,17 +51,3 @@ def override_flags(works: DataFrame, overrides: list[tuple[str, list[str], bool]
                 last.setdefault(f, {})[doi] = value
     pick = lambda f, by: reduce(lambda rest, v: F.when(F.col(key).isin([d for d, x in by.items() if x == v]), v).otherwise(rest), (True, False), F.col(f))
     return works.withColumns({f: pick(f, by) for f, by in last.items()}) if last else works
-
-
-def override_authors(works: DataFrame, overrides: DataFrame, prefix: str, key: str = "doi") -> DataFrame:
-    """Sets ``<prefix>_author`` and ``<prefix>_author_position`` of DOIs in ``overrides`` (doi, author, position, order); the last by ``order`` wins.
-
-    ``<prefix>_year`` is the year to match the author by: the override's, else the row's.
-    """
-    last = overrides.groupBy(F.col(key).alias("_key")).agg(F.max_by(F.struct("author", "position", "publication_year"), "order").alias("_o"))
-    out = works.join(last, F.col(key) == F.col("_key"), "left")
-    return out.withColumns({
-        f"{prefix}_author": F.coalesce("_o.author", f"{prefix}_author"),
-        f"{prefix}_author_position": F.coalesce("_o.position", f"{prefix}_author_position"),
-        f"{prefix}_year": F.coalesce("_o.publication_year", "publication_year"),
-    }).drop("_key", "_o")

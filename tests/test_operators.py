@@ -227,6 +227,32 @@ def test_answers(spark):
     assert [tuple(r)[1:] for r in got] == [("s", "f", 1.0, "a b"), ("s", "f", 0.0, None), (None, None, None, None), (None, None, None, None), (None, None, None, None)]
 
 
+def test_classify(spark):
+    areas = spark.createDataFrame([("f", "snow", "d")], "first_level string, second_level string, description string")
+    rows = spark.createDataFrame([("1", "Snow pillows", None), ("2", None, "x")], "doi string, title string, abstract string")
+
+    def factory():
+        return lambda asked: ['{"second_level": "snow", "confidence": 0.5, "note": ""}' if "Title: Snow" in p and "Abstract: [Missing]" in p else "?" for p in asked]
+
+    got = lanes.classify(rows, areas, factory, lanes.Limits(rpm=100000)).orderBy("doi").collect()
+    assert [tuple(r) for r in got] == [("1", "snow", "f", 0.5, None), ("2", None, None, None, None)]
+
+
+def test_normalized_twice(spark):
+    df = spark.createDataFrame([([("Org", None, None, None, ["x"])],)], f"author {AUTHOR}")
+    once = A.normalized_authors(df)
+    assert A.normalized_authors(once) is once and [tuple(a) for a in once.first().author] == [("Org", "x")]
+    flat = spark.createDataFrame([(("a ", " ", None),)], "a struct<affiliation1:string,affiliation_name:string,other:string>")
+    assert flat.select(A.scalar_affiliations(F.col("a"), ["affiliation1", "affiliation_name", "other"])).first()[0] == ["a"]
+
+
+def test_override_first(spark):
+    works = spark.createDataFrame([(1, "10.1/A", 2025, None, None, None), (2, "10.1/A", 2025, "B", 1, "D"), (3, None, 2025, "B", 1, "D")], "record_id int, doi string, publication_year int, first_affiliated_author string, first_affiliated_author_position int, first_affiliated_author_division string")
+    roster = spark.createDataFrame([(1, "Iris Jacobs", None, "X", "2019"), (2, "Iris Jacobs", None, "Y", "2025")], "roster_id int, employee_name string, employee_alternate_name string, division_adjusted string, year string")
+    got = fuzzy.override_first_affiliated(works, roster, [("10.1/A", "Q", 9, None), ("10.1/A", "Iris Jacobs", 3, 2019)])
+    assert sorted(tuple(r)[3:] for r in got.collect() if r.record_id == 1) == [("Iris Jacobs", 3, "X")] and {tuple(r)[3:] for r in got.collect() if r.record_id > 1} == {("B", 1, "D")}
+
+
 def test_fetch(spark):
     dois = spark.createDataFrame([(f"10.1/{i}",) for i in range(5)], "doi string")
 
