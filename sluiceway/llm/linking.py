@@ -165,7 +165,7 @@ def calibration(pairs: DataFrame, vectors: Vectors, given: frozenset[str], most:
     w = np.array([-6.0, 12.0])
     design = np.stack([np.ones_like(x), x], axis=1)
     for _ in range(25):
-        p = 1 / (1 + np.exp(-design @ w))
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
         h = (design * (p * (1 - p))[:, None]).T @ design + np.eye(2) * 1e-2
         w = w + np.linalg.solve(h, design.T @ (y - p) - 1e-2 * (w - np.array([-6.0, 12.0])))
     return float(w[0]), float(max(w[1], 0.0))
