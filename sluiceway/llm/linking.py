@@ -139,12 +139,12 @@ def hashed(entries: DataFrame, vectors: Vectors) -> DataFrame:
 
 
 def compared(pairs: DataFrame, vectors: Vectors, given: frozenset[str], least: float = 0.0) -> DataFrame:
-    """``a, b, cosine, likeness`` of candidate pairs of names and their attributes, ``a, b, entry_a, entry_b``."""
+    """``a, b, cosine, likeness`` of candidate pairs of names and their attributes, ``a, b, entry_a, entry_b``; names whose order is unsure are read both ways."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            split = {n: N.split_name(n, given)[:2] for n in {*batch["a"], *batch["b"]}}
-            like = np.array([N.alike(split[a], split[b]) for a, b in zip(batch["a"], batch["b"], strict=True)], float)
+            ways = {n: N.readings(n, given) for n in {*batch["a"], *batch["b"]}}
+            like = np.array([max(N.alike(x, y) for x in ways[a] for y in ways[b]) for a, b in zip(batch["a"], batch["b"], strict=True)], float)
             batch = batch.assign(likeness=like)[like >= least]
             own = sorted({*batch["entry_a"], *batch["entry_b"]})
             at = {e: i for i, e in enumerate(own)}

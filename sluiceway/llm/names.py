@@ -88,6 +88,14 @@ def split_name(text: str, given: frozenset[str] = frozenset()) -> tuple[str, tup
     return last, spread(words[:-1], loud), a
 
 
+def readings(text: str, given: frozenset[str] = frozenset()) -> list[tuple[str, tuple[str, ...]]]:
+    """(surname, given names) of a name in the order ``split_name`` takes it for and, where that isn't sure, the other way round; one of a group's name."""
+    surname, own, sure = split_name(text, given)
+    if sure or not own or group_words(fold(text)):
+        return [(surname, own)]
+    return [(surname, own), (own[0], (*own[1:], surname))]
+
+
 def osa(a: str, b: str, most: int = 3) -> int:
     """Edits between two words, a swap of neighbours being one; ``most`` + 1 if more than ``most``."""
     if a == b:

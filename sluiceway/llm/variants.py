@@ -69,11 +69,11 @@ def keyed(names: DataFrame, given: frozenset[str]) -> DataFrame:
                     node = "g|" + " ".join(words)
                     rows += [(name, node, f"{N.initials_of(words)}|{words[0]}", words[0]), (name, node, f"{words[1][0]}|{words[0]}", words[0]), (name, node, f"|{N.initials_of(words)}", N.initials_of(words))]
                     continue
-                surname, own, sure = N.split_name(name, given)
+                ways = N.readings(name, given)
+                surname, own = ways[0]
                 if not surname:
                     continue
                 node = f"p|{surname}|{' '.join(own)}"
-                ways = [(surname, own)] if sure or not own else [(surname, own), (own[0], (*own[1:], surname))]
                 for s, g in ways:
                     initial = N.NICKNAMES.get(g[0], g[0])[:1] if g else ""
                     rows.append((name, node, f"{initial}|{s}", s))

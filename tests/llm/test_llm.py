@@ -199,6 +199,16 @@ def test_linking(spark):
     assert linking.linked(df.limit(0), roster, agency).count() == 0 and linking.linked(df, roster.limit(0), agency).count() == 0
 
 
+def test_linking_reads_unsure_names_both_ways(spark):
+    agency = "Halvern Department"
+    authors = ["Mobrugetral Andrew N", "Vishiodral Mtthew", "Bresulusto Wetland Working Group"]
+    kind = "record_id long, authors array<string>, author_affiliations array<struct<author:string,canonical_affiliation:string>>, publication_year int, dwr_author boolean, dwr_lead_author boolean"
+    df = spark.createDataFrame([(i, [a], [(a, agency)], 2023, True, True) for i, a in enumerate(authors)], kind)
+    staff = [(10, "Andrew N. Mobrugetral"), (11, "Matthew Vishiodral"), (12, "W. Bresulusto"), (13, "Matthew Mobrugetral")]
+    roster = spark.createDataFrame([(*s, None, "2023") for s in staff], "roster_id long, employee_name string, employee_alternate_name string, year string")
+    assert rows(linking.linked(df, roster, agency), "roster_id", "record_id") == [(10, 0), (11, 1)]
+
+
 def test_hashing_recall():
     """Attributes one slip apart share a bucket in nine of ten cases or more."""
     rng = random.Random(4)
