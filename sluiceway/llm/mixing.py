@@ -54,8 +54,8 @@ def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def blocks(documents: DataFrame, sources: list[str], key: str, text: str, source: str, path: str, block: int) -> tuple[DataFrame, dict[str, int]]:
-    """Pieces of documents by block, ``source, block, doc, first_token, tokens``, and the number of blocks of each source."""
+def blocks(documents: DataFrame, sources: list[str], key: str, text: str, source: str, path: str, block: int) -> tuple[DataFrame, dict[str, int], dict[str, int]]:
+    """Pieces of documents by block, ``source, block, doc, first_token, tokens``, and the numbers of blocks and of tokens of each source."""
     own = documents.filter(F.col(source).isin(sources)).select(F.col(source).alias("source"), F.col(key).alias("doc"), tokens.token_count(F.col(text), path).alias("n"))
     own = cut(own.filter("n > 0"))
     totals = {r.source: r.n for r in own.groupBy("source").agg(F.sum("n").alias("n")).collect()}
@@ -74,13 +74,29 @@ def blocks(documents: DataFrame, sources: list[str], key: str, text: str, source
     cuts = own.withColumn("k", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("n") - 1) / block))))
     begin, end = F.greatest(F.col("start"), F.col("k") * block), F.least(F.col("start") + F.col("n"), (F.col("k") + 1) * block)
     pieces = cuts.select("source", (F.col("base") + F.col("k")).alias("block"), "doc", (begin - F.col("start")).cast("int").alias("first_token"), (end - begin).cast("int").alias("tokens"))
-    return pieces, have
+    return pieces, have, totals
 
 
-def plan(targets: list[tuple[str, float, int]], have: dict[str, int], slots: int | None, per_shard: int, seed: int) -> list[tuple[int, str, int, int]]:
+def dealt(weight: np.ndarray, most: np.ndarray, n: int) -> np.ndarray:
+    """``n`` slots, or as many as there may be, by weight; what a source can't fill goes to the others by their weights."""
+    n, open_ = min(n, int(most.sum())), np.ones(len(weight), bool)
+    share = weight * n
+    while (over := open_ & (share > most)).any():
+        open_ &= ~over
+        share = np.where(open_, weight * (n - most[~open_].sum()) / max(weight[open_].sum(), 1e-300), most)
+    want = np.minimum(np.floor(share).astype(np.int64), most)
+    while want.sum() < n:  # what rounding left
+        for i in np.argsort(-(share - want), kind="stable"):
+            if want.sum() < n and want[i] < most[i]:
+                want[i] += 1
+    return want
+
+
+def plan(targets: list[tuple[str, float, int]], have: dict[str, int], slots: int | None, per_shard: int, seed: int, whole: bool = False) -> list[tuple[int, str, int, int]]:
     """(shard, source, first ordinal, count): how many slots of each output shard each source fills.
 
-    ``slots`` defaults to the most for which every source that has blocks reaches its share within its cap.
+    ``slots`` defaults to the most for which every source that has blocks reaches its share within its cap;
+    if ``whole``, it is the number of all blocks at least, and what a source can't fill goes to the others.
     """
     live = [(s, w, c * have[s]) for s, w, c in targets if w > 0 and c > 0 and have.get(s)]
     if not live:
@@ -88,10 +104,7 @@ def plan(targets: list[tuple[str, float, int]], have: dict[str, int], slots: int
     weight = np.array([w for _, w, _ in live])
     weight, most = weight / weight.sum(), np.array([c for *_, c in live], np.int64)
     n = int(np.floor((most / weight).min())) if slots is None else slots
-    want = np.minimum(np.floor(weight * n).astype(np.int64), most)
-    for i in np.argsort(-(weight * n - want), kind="stable"):
-        if want.sum() < n and want[i] < most[i]:
-            want[i] += 1
+    want = dealt(weight, most, max(n, sum(have[s] for s, *_ in live)) if whole and slots is None else n)
     per_shard = max(per_shard, -(-int(want.sum()) // MOST_SHARDS))
     rng, left, done, out = np.random.default_rng(seed), want.copy(), np.zeros_like(want), []
     shard = 0
@@ -103,19 +116,27 @@ def plan(targets: list[tuple[str, float, int]], have: dict[str, int], slots: int
     return out
 
 
-def mixed(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", path: str = tokens.VOCABULARY, block: int = BLOCK, slots: int | None = None, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED) -> DataFrame:
+def mixed(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", path: str = tokens.VOCABULARY, block: int = BLOCK, slots: int | None = None, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED, whole: bool = False) -> DataFrame:
     """The mixture: ``shard, slot, source, block, use, doc, first_token, tokens``, a row for each piece of a document in a slot.
 
     ``targets`` is a fixed short list ``source, target_share, max_repeats``. Sources without a
     target, and null, empty and tokenless documents, take no part; sources without documents leave
     their share to the others; ``use`` counts from 0 and stays below the source's ``max_repeats``. A
     run of a source is ordered by one task and holds about RUN_TOKENS tokens, so a source may hold
-    any share of all rows. An empty table gives an empty result; further columns are ignored.
+    any share of all rows. If ``whole``, the mixture has as many blocks as the sources together, and
+    a source too small for its share, used ``max_repeats`` times, leaves the rest to the others;
+    else it has the most blocks for which every share is reached. An empty table gives an empty
+    result; further columns are ignored.
     """
+    return _mixed(documents, targets, key, text, source, path, block, slots, shard_blocks, seed, whole)[0]
+
+
+def _mixed(documents: DataFrame, targets: DataFrame, key: str, text: str, source: str, path: str, block: int, slots: int | None, shard_blocks: int, seed: int, whole: bool) -> tuple[DataFrame, dict[str, int]]:
+    """The mixture, and the number of tokens that each source has."""
     spark = documents.sparkSession
     wanted = [(r.source, float(r.target_share or 0), int(r.max_repeats or 0)) for r in targets.select("source", "target_share", "max_repeats").filter("source is not null").collect()]
-    pieces, have = blocks(documents, [s for s, *_ in wanted], key, text, source, path, block)
-    rows = plan(wanted, have, slots, shard_blocks, seed)
+    pieces, have, totals = blocks(documents, [s for s, *_ in wanted], key, text, source, path, block)
+    rows = plan(wanted, have, slots, shard_blocks, seed, whole)
     drawn = spark.createDataFrame(rows, "shard int, source string, first bigint, k int")
     number = {s: i for i, (s, *_) in enumerate(wanted)}
     sizes = F.create_map(*(F.lit(x) for s, n in (have or {"": 0}).items() for x in (s, n)))
@@ -129,12 +150,25 @@ def mixed(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text: s
     slot = drawn.select("shard", "source", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("k") - 1)).alias("ordinal"))
     slot = slot.withColumn("n", F.try_element_at(sizes, "source").cast("bigint"))
     slot = slot.select("shard", "source", F.xxhash64("shard", "source", "ordinal", F.lit(seed)).alias("slot"), F.floor(F.col("ordinal") / F.col("n")).cast("int").alias("use"), block_of("ordinal", "n", F.try_element_at(names, "source")).alias("block"))
-    return slot.join(pieces, ["source", "block"]).select("shard", "slot", "source", "block", "use", "doc", "first_token", "tokens")
+    return slot.join(pieces, ["source", "block"]).select("shard", "slot", "source", "block", "use", "doc", "first_token", "tokens"), totals
 
 
-def shares(mixture: DataFrame, targets: DataFrame) -> DataFrame:
-    """What the mixture came to: ``source, target_share, max_repeats, tokens, share, most_uses``."""
-    got = mixture.groupBy("source").agg(F.sum("tokens").alias("tokens"), (F.max("use") + 1).alias("most_uses"))
+def shares(mixture: DataFrame, targets: DataFrame, available: dict[str, int] | None = None) -> DataFrame:
+    """What the mixture came to: ``source, target_share, max_repeats, tokens, share, most_uses, shortfall, available, used``.
+
+    ``shortfall`` is what the share lacks of its target; ``used`` is the part of the source's
+    ``available`` tokens that occur in the mixture at all, null if these aren't given.
+    """
+    got = mixture.groupBy("source").agg(F.sum("tokens").alias("tokens"), (F.max("use") + 1).alias("most_uses"), F.sum(F.when(F.col("use") == 0, F.col("tokens")).otherwise(0)).alias("once"))
     out = targets.select("source", "target_share", "max_repeats").join(got, "source", "left")
     whole = F.sum("tokens").over(Window.partitionBy())  # over the fixed list of sources
-    return out.withColumn("tokens", F.coalesce("tokens", F.lit(0))).select("source", "target_share", "max_repeats", "tokens", F.try_divide("tokens", whole).alias("share"), F.coalesce("most_uses", F.lit(0)).alias("most_uses"))
+    out = out.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("tokens", "most_uses", "once")}).withColumn("share", F.try_divide("tokens", whole))
+    there = F.lit(None) if available is None else F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for k, v in (available or {"": 0}).items() for x in (k, v))), "source"), F.lit(0))
+    out = out.withColumn("available", there.cast("bigint")).withColumn("shortfall", F.greatest(F.col("target_share") - F.coalesce("share", F.lit(0.0)), F.lit(0.0)))
+    return out.select("source", "target_share", "max_repeats", "tokens", "share", "most_uses", "shortfall", "available", F.try_divide("once", "available").alias("used"))
+
+
+def reported(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", path: str = tokens.VOCABULARY, block: int = BLOCK, slots: int | None = None, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED, whole: bool = False) -> DataFrame:
+    """``shares`` of the mixture that ``mixed`` makes, with what each source has."""
+    mixture, available = _mixed(documents, targets, key, text, source, path, block, slots, shard_blocks, seed, whole)
+    return shares(mixture, targets, available)

@@ -81,11 +81,11 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_mixed(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.mixed(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+    return mixing.mixed(table(spark, d, "documents"), table(spark, d, "mix_targets"), whole=True)
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.shares(p9_mixed(spark, d), table(spark, d, "mix_targets"))
+    return mixing.reported(table(spark, d, "documents"), table(spark, d, "mix_targets"), whole=True)
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:

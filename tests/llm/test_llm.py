@@ -302,6 +302,21 @@ def test_mixing(spark):
     assert mixing.mixed(df.limit(0), targets).count() == 0
 
 
+def test_small_sources_dont_shrink_the_mixture(spark):
+    """All blocks' worth is mixed; a source too small for its share is used up to its cap and reported, and the others get the rest."""
+    targets = [("a", 0.5, 1), ("b", 0.3, 2), ("c", 0.2, 4), ("none", 0.1, 1)]
+    total = lambda have: {s: sum(k for _, x, _, k in mixing.plan(targets, have, None, 16, 1, whole=True) if x == s) for s, *_ in targets}
+    assert total({"a": 100, "b": 60, "c": 1}) == {"a": 98, "b": 59, "c": 4, "none": 0}
+    assert total({"a": 10, "b": 100, "c": 1}) == {"a": 10, "b": 97, "c": 4, "none": 0}
+    docs = [(i, " ".join("abcdefgh"[(i + j) % 8] for j in range(16)), "small" if i == 0 else "big") for i in range(101)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    wanted = spark.createDataFrame([("small", 0.4, 2), ("big", 0.6, 1), ("none", 0.0, 1)], "source string, target_share double, max_repeats int")
+    got = {r.source: r for r in mixing.reported(df, wanted, block=8, whole=True).collect()}
+    assert sum(r.available for r in got.values()) - 16 <= sum(r.tokens for r in got.values()) <= sum(r.available for r in got.values())
+    assert got["small"].used == 1 and got["small"].most_uses == 2 and got["big"].used > 0.98 and got["none"].used is None
+    assert abs(got["small"].shortfall - (0.4 - got["small"].share)) < 1e-9 and got["small"].shortfall > 0.37 and got["big"].shortfall == 0
+
+
 # 10
 
 
