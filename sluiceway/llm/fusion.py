@@ -25,8 +25,6 @@ ROUNDS = 2
 COPY_RATE, FALSE_VALUES, DEPENDENT = 0.8, 100.0, 0.1
 #: A value found in this share of all groups, and in so many at least, stands in for a missing one.
 STAND_IN_SHARE, STAND_IN_LEAST = 0.004, 40
-#: Characters; what is longer isn't matched against the patterns of stand-ins.
-LONGEST_STAND_IN = 200
 #: Joins the elements of a list value; no text holds it.
 SEP = "\u001f"
 
@@ -76,7 +74,7 @@ def valued(c: DataFrame) -> DataFrame:
     """One row for each different value a group claims: who claims it, how often independently, and the latest claim of each field."""
     rank = F.struct(F.coalesce(F.col("t"), F.lit("0001-01-01").cast("timestamp")).alias("t"), (-F.col("id")).alias("neg"))
     return c.groupBy("core", "family", "value", "bad", "n").agg(
-        F.array_sort(F.collect_set("src")).alias("srcs"), F.approx_count_distinct(F.xxhash64("src", "print", "field")).alias("votes"),
+        F.array_sort(F.collect_set("src")).alias("srcs"), F.size(F.collect_set(F.xxhash64("src", "print", "field"))).alias("votes"),
         *(F.max(F.when(F.col("field") == f, rank)).alias(f"best_{f}") for f in FIELDS),
     )
 
@@ -133,11 +131,11 @@ def judged(records: DataFrame, key: str = "record_id", doi: str = "doi", source:
     authors = records.select(doi_core(F.col(doi)).alias("core"), longest.alias("n")).filter("core is not null").groupBy("core").agg(F.max("n").alias("longest"))
     v = cut(valued(c))
     groups = v.select("core").distinct().count()
-    short = v.filter((F.col("family") == "title") & ~F.col("bad") & (F.length("value") <= LONGEST_STAND_IN)).groupBy(F.xxhash64("value").alias("hash"))
-    common = short.agg(F.count("*").alias("k")).filter(F.col("k") >= max(STAND_IN_LEAST, STAND_IN_SHARE * groups))
-    stand_ins = common.select("hash", F.lit(True).alias("stands_in"))  # at most 5 / STAND_IN_SHARE rows, as a group has few titles
-    v = v.withColumn("hash", F.xxhash64("value")).join(F.broadcast(stand_ins), "hash", "left")
-    v = v.withColumn("bad", F.col("bad") | (F.col("stands_in").isNotNull() & (F.col("family") == "title"))).drop("hash", "stands_in")
+    texts = v.filter((F.col("family") != "authors") & ~F.col("bad")).groupBy("family", F.xxhash64("value").alias("hash"))
+    common = texts.agg(F.count("*").alias("k")).filter(F.col("k") >= max(STAND_IN_LEAST, STAND_IN_SHARE * groups))
+    stand_ins = common.select("family", "hash", F.lit(True).alias("stands_in"))  # few / STAND_IN_SHARE rows, as a group has few titles and abstracts
+    v = v.withColumn("hash", F.xxhash64("value")).join(F.broadcast(stand_ins), ["family", "hash"], "left")
+    v = v.withColumn("bad", F.col("bad") | F.col("stands_in").isNotNull()).drop("hash", "stands_in")
     v = cut(contested(v, authors).drop("value"))
     accuracy, copying = {}, {}
     for _ in range(ROUNDS):
@@ -152,7 +150,7 @@ def best(records: DataFrame, key: str = "record_id", doi: str = "doi", source: s
     a whole value gives no row. Records without a DOI form no group; null times count as oldest;
     among equals the smallest key wins, so equal rows give the first of them; an empty table gives
     an empty result; further columns are ignored. Groups are only ever aggregated: what is kept of
-    one are its different values, however many records claim them.
+    one are its different values and 64-bit hashes of the votes for them; equal records vote once.
     """
     v = judged(records, key, doi, source, when, names).filter("p >= 0.5")
     fields = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f"best_{f}").alias("best")) for f in FIELDS))).alias("x")

@@ -126,6 +126,22 @@ def test_best_values(spark):
     assert built.title_openalex == "Another title" and built.authors_crossref == two
 
 
+def test_votes_are_counted_exactly(spark):
+    """Each of 2,000 values has twelve different votes and one that is repeated."""
+    claimed = spark.range(2000).selectExpr("cast(id as string) core", "explode(sequence(0, 12)) v", "id").selectExpr("core", "'title' family", "'T' value", "false bad", "0 n", "id * 100 + v id", "cast(null as timestamp) t", "0 src", "'title_openalex' field", "id * 100 + v % 12 print")
+    assert [r.votes for r in fusion.valued(claimed).select("votes").distinct().collect()] == [12]
+
+
+def test_frequent_texts_stand_in(spark):
+    """An abstract and a title of more than 200 characters that forty works share stand in for missing ones."""
+    title, abstract = "The same long heading of a series " * 7 + "ends here", "No description was supplied by the publisher of this work."
+    data = [record(2 * i + j, 1, title, f"Title {i} of its own", abstract if i else "One abstract. It ends.", None, f"10.1234/s{i}") for i in range(40) for j in (1, 2)]
+    got = {(r.field, r.first_record_id) for r in fusion.best(spark.createDataFrame(data, RECORD)).collect()}
+    assert not [f for f, _ in got if f == "title_openalex"] and ("abstract_crossref", 1) in got
+    data = [record(2 * i + j, 1, f"Title {i} of its own", None, abstract, None, f"10.1234/s{i}") for i in range(40) for j in (1, 2)]
+    assert {r.field for r in fusion.best(spark.createDataFrame(data, RECORD)).collect()} == {"title_openalex"}
+
+
 def test_copying_is_found(spark):
     """Of three sources one repeats another's false values; its votes are discounted."""
     rng = random.Random(2)
