@@ -361,6 +361,23 @@ def test_repetitive(spark):
     assert repetition.repetitive(df.limit(0)).count() == 0
 
 
+def test_no_repetitive_document_is_cleared(spark, monkeypatch):
+    """Every document that may reach the share is measured, even if the trees clear all."""
+
+    class Clearing:
+        def score(self, x):
+            return np.zeros(len(x))
+
+    monkeypatch.setattr(repetition, "train", lambda *_: (Clearing(), 0.5))
+    rng = random.Random(12)
+    data = []
+    for i in range(60):
+        w = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(rng.randint(8, 80))]
+        data.append((i, " ".join(w + w[: rng.randint(0, len(w))])))
+    expected = [(i,) for i, t in data if brute_share(t) >= 0.3]
+    assert 10 < len(expected) < 50 and rows(repetition.repetitive(spark.createDataFrame(data, "doc_id long, text string")), "doc_id") == expected
+
+
 def test_monotone_trees():
     rng = np.random.default_rng(0)
     x = rng.random((2000, 3))
