@@ -24,6 +24,9 @@ Q, ROWS = 2, 3
 #: Jaccard likeness of padded q-grams that two surnames one slip apart have at least, about, and the share of such pairs to be found.
 LIKENESS, RECALL = 0.45, 0.97
 ALIKE = 0.78
+#: Letters up to which surnames are also indexed by what is left of them without as many letters as they may have slips: two slips
+#: make shorter words less like than LIKENESS (two swaps in n letters leave (n - 5) / (n + 7)), and the banding misses them.
+INDEXED = 15
 SEED = 7
 
 
@@ -32,6 +35,20 @@ def bands(likeness: float = LIKENESS, recall: float = RECALL, rows: int = ROWS)
     return math.ceil(math.log(1 - recall) / math.log(1 - likeness**rows))
 
 
+def shortened(word: str) -> set[str]:
+    """A word of at most INDEXED letters and what is left of it without one letter, from TWO_SLIPS letters on without up to two.
+
+    Two words that ``names.slips`` takes for one, both indexed, share one of these: every slip, a swap too, is made good by leaving out a letter of each.
+    """
+    if len(word) > INDEXED:
+        return set()
+    out = last = {word}
+    for _ in range(2 if len(word) >= N.TWO_SLIPS else 1):
+        last = {w[:i] + w[i + 1 :] for w in last for i in range(len(w))}
+        out = out | last
+    return out
+
+
 def signatures(words: list[str], count: int) -> np.ndarray:
     """MinHash signatures of padded q-grams, ``count`` a word; all words at once. Empty words count as one gram."""
     grams = [[hash_of(p[i : i + Q]) for i in range(len(p) - Q + 1)] for p in ("^" * (Q - 1) + w + "$" * (Q - 1) for w in words)]
@@ -83,7 +100,7 @@ def keyed(names: DataFrame, given: frozenset[str]) -> DataFrame:
 
 
 def banded(entries: DataFrame, likeness: float = LIKENESS, recall: float = RECALL) -> DataFrame:
-    """``entry, band`` for each entry and band of the banding."""
+    """``entry, band`` for each entry and band of the banding, and for each of the shortened forms of a surname of at most INDEXED letters."""
     count = bands(likeness, recall)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -98,6 +115,8 @@ def banded(entries: DataFrame, likeness: float = LIKENESS, recall: float = RECAL
                 own = np.array([hash_of(e.split("|")[0]) for e in batch["entry"]], np.uint64)
                 key = (key + own[:, None]) * np.uint64(0x9E3779B97F4A7C15) + np.arange(count, dtype=np.uint64)
             yield pd.DataFrame({"entry": np.repeat(batch["entry"].to_numpy(), count), "band": key.astype(np.int64).ravel()})
+            left = [[hash_of(f"{e.partition('|')[0]}|{x}") for x in shortened(w)] for e, w in zip(batch["entry"], batch["surname"], strict=True)]
+            yield pd.DataFrame({"entry": np.repeat(batch["entry"].to_numpy(), [len(x) for x in left]), "band": np.array([h for x in left for h in x], np.uint64).astype(np.int64)})
 
     return entries.select("entry", "surname").mapInPandas(run, "entry string, band bigint")
 

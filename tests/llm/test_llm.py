@@ -46,6 +46,24 @@ def test_collision_curve():
         assert abs((s[i] == s[j]).mean() - len(grams[i] & grams[j]) / len(grams[i] | grams[j])) < 0.08
 
 
+def test_short_and_twice_misspelt_surnames_meet(spark):
+    """Every pair of surnames of at most INDEXED letters that ``slips`` takes for one shares a bucket."""
+    rng = random.Random(9)
+    slip = lambda w, i: rng.choice([w[:i] + w[i + 1 :], w[:i] + w[i] + w[i:], w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + "q" + w[i + 1 :]])
+    pairs = []
+    while len(pairs) < 300:
+        a = "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, variants.INDEXED)))
+        b = slip(a, rng.randrange(len(a) - 1))
+        b = slip(b, rng.randrange(len(b) - 1)) if len(a) > names.TWO_SLIPS else b
+        if a != b and names.osa(a, b) <= names.slips(a, b) and max(len(a), len(b)) <= variants.INDEXED:
+            pairs.append((a, b))
+    df = spark.createDataFrame([(f"k|{w}", w) for w in {w for p in pairs for w in p}], "entry string, surname string")
+    buckets = {}
+    for r in variants.banded(df).collect():
+        buckets.setdefault(r.entry, set()).add(r.band)
+    assert not [(a, b) for a, b in pairs if not buckets[f"k|{a}"] & buckets[f"k|{b}"]]
+
+
 def test_variants(spark):
     people = ["Katherine Zatélastel", "Kate Zatélastel", "ZATÉLASTEL, KATHERINE", "K. Zatélastel", "Kahterine Zatélastel", "Hiroshi Zatélastel", "H. Zatélastel", "Bresulusto Wetland Working Group", "Bresulusto Wetland Working Group (BWWG)", "Bresulusto WWG", "Working Group of the Bresulusto Wetland", "Bresulusto Levee Working Group", None, "", "  ", "Katherine Zatélastel", LONG]
     df = spark.createDataFrame([(p, 1) for p in people], "name string, cluster int")
