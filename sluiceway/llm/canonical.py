@@ -22,11 +22,13 @@ from sluiceway.llm.bktree import BKTree, one_edit
 from sluiceway.operators.skew import join_groups
 from sluiceway.session import cut
 
-#: Entries in one tree at most; a longer list is searched in shards of this size, whose winners merge.
+#: Entries in one tree at most; a longer list is searched in shards of this size, whose hits are weighed together.
 SHARD_ENTRIES = 50_000
 #: Edits allowed, and the shortest part that may have any.
 EDITS, LEAST_FUZZY = 1, 9
 NONE = -1
+#: Ways in which an entry is hit, in order of preference; and that a part or a text of the value is a place of the list.
+EXACT, NEAR, INITIALS, PLACE_PART, PLACE_TEXT = range(5)
 
 ABBREVIATIONS = {
     "dept": "department", "dep": "department", "dpt": "department", "univ": "university", "uni": "university", "u": "university", "inst": "institute", "lab": "laboratory", "labs": "laboratory",
@@ -62,6 +64,14 @@ def initials(name: str) -> str:
     return "".join(w[0] for w in name.split() if w not in SMALL)
 
 
+def read(value: str | None) -> tuple[list[str], list[str]]:
+    """The parts of a typed value, and the texts to look up: the parts in the spelling of the list, and neighbours that belong together."""
+    parts = [p.strip() for p in PARTS.split(fold(value or "")) if p.strip()]
+    texts = [spelled(p) for p in parts]
+    texts += [f"{b} {a}" for a, b in zip(texts, texts[1:], strict=False) if b.endswith(" of")] + [f"{a} {b}" for a, b in zip(texts, texts[1:], strict=False) if a.endswith((" and", " &")) or b.startswith("and ")]
+    return parts, texts
+
+
 class Matcher:
     """A reference list, or a shard of it, ready for look-ups."""
 
@@ -88,20 +98,32 @@ class Matcher:
 
     def best(self, value: str | None) -> tuple[int, int]:
         """(edits, entry) of the nearest entry, or (-1, NONE). A tie that the place doesn't settle gives none."""
-        parts = [p.strip() for p in PARTS.split(fold(value or "")) if p.strip()]
+        parts, texts = read(value)
         if not parts:
             return -1, NONE
         said = {p.strip(" .") for p in parts} & self.places
-        texts = [spelled(p) for p in parts]
-        texts += [f"{b} {a}" for a, b in zip(texts, texts[1:], strict=False) if b.endswith(" of")] + [f"{a} {b}" for a, b in zip(texts, texts[1:], strict=False) if a.endswith((" and", " &")) or b.startswith("and ")]
         texts = [t for t in texts if t not in self.places]
         for found in ({(0, key) for t in texts for key in self.tree.ids.get(t, ())}, None):
             if found is None:
                 found = {(k, key) for t in texts for k, name in self.near(t) for key in self.tree.ids[name]}
             if found:
                 return self._one(found, said, False) or (-1, NONE)
-        short = {(self.edits + 1, key) for p in parts for key in self.by_initials.get(p.replace(".", "").replace(" ", ""), ()) if len(p.replace(".", "")) >= 3}
-        return self._one(short, said, True) or (-1, NONE)
+        return self._one({(self.edits + 1, key) for key in self.short(parts)}, said, True) or (-1, NONE)
+
+    def short(self, parts: list[str]) -> set[int]:
+        """Entries whose initials are a part."""
+        return {key for p in parts for key in self.by_initials.get(p.replace(".", "").replace(" ", ""), ()) if len(p.replace(".", "")) >= 3}
+
+    def hits(self, value: str | None) -> set[tuple[int, int, int, bool, str]]:
+        """(way, edits, entry, whether its place stands beside it, text) of every entry of the shard that a value may mean, and the places of the shard in it; ``weighed`` has the rest of ``best``."""
+        parts, texts = read(value)
+        beside = {p.strip(" .") for p in parts}
+        here = lambda key: self.place[key] in beside and self.place[key] != ""
+        out = {(PLACE_PART, 0, NONE, True, p) for p in beside & self.places} | {(PLACE_TEXT, 0, NONE, True, t) for t in self.places.intersection(texts)}
+        for t in texts:
+            out |= {(EXACT, 0, key, here(key), t) for key in self.tree.ids.get(t, ())}
+            out |= {(NEAR, k, key, here(key), t) for k, name in self.near(t) for key in self.tree.ids[name]}
+        return out | {(INITIALS, self.edits + 1, key, here(key), "") for key in self.short(parts)}
 
     def _one(self, found: set[tuple[int, int]], said: set[str], strict: bool) -> tuple[int, int] | None:
         if strict and said:
@@ -124,7 +146,7 @@ def mapped(values: DataFrame, reference: DataFrame, key: str = "institution_id",
     """``value, times, entry, edits`` for distinct values and how often they occur: the entry meant, or NONE.
 
     The list is broadcast if it has at most ``shard`` entries; a longer one is searched shard by
-    shard, and of a value's winners the one with the fewest edits is kept (two at the same: none).
+    shard, and all hits of a value are weighed together, so the shards make no difference.
     """
     rows = reference.select(F.col(key).cast("bigint").alias("k"), F.col(name).alias("n"), F.col(place).alias("p")).filter("k is not null and n is not null")
     count = rows.count()
@@ -140,13 +162,29 @@ def mapped(values: DataFrame, reference: DataFrame, key: str = "institution_id",
                 got = [matcher.best(v) for v in batch["value"]]
                 yield pd.DataFrame({"value": batch["value"], "times": batch["times"], "entry": [g[1] for g in got], "edits": [g[0] for g in got]})
 
-        part = values.select("value", "times").mapInPandas(run, "value string, times bigint, entry bigint, edits int")
+        def run_shard(batches: Iterator[pd.DataFrame], entries=entries) -> Iterator[pd.DataFrame]:
+            matcher = _matcher(entries, edits)
+            for batch in batches:
+                yield pd.DataFrame([(v, *h) for v in batch["value"] for h in matcher.hits(v)], columns=["value", "way", "edits", "entry", "here", "text"])
+
+        if shards == 1:
+            return values.select("value", "times").mapInPandas(run, "value string, times bigint, entry bigint, edits int")
+        part = values.select("value").mapInPandas(run_shard, "value string, way int, edits int, entry bigint, here boolean, text string")
         found = part if found is None else found.unionByName(part)
-    if shards == 1:
-        return found
-    hits = found.filter(F.col("entry") != NONE).groupBy("value", "edits").agg(F.min("entry").alias("entry"), F.countDistinct("entry").alias("n"))
-    nearest = hits.groupBy("value").agg(F.min_by(F.struct("entry", "edits", "n"), "edits").alias("x"))
-    return values.join(nearest, "value", "left").select("value", "times", F.when(F.col("x.n") == 1, F.col("x.entry")).otherwise(NONE).alias("entry"), F.when(F.col("x.n") == 1, F.col("x.edits")).otherwise(-1).alias("edits"))
+    return weighed(values, cut(found))
+
+
+def weighed(values: DataFrame, found: DataFrame) -> DataFrame:
+    """``value, times, entry, edits`` from the hits of all shards, in the order of ``Matcher.best``: exact before near before initials, then by edits, ties by the place beside the name."""
+    said = found.filter(F.col("way") == PLACE_PART).select("value", F.lit(True).alias("said")).distinct()
+    places = found.filter(F.col("way") == PLACE_TEXT).select("value", "text").distinct()
+    hits = found.filter(F.col("way") <= INITIALS).join(places, ["value", "text"], "left_anti").join(said, "value", "left")
+    hits = hits.filter((F.col("way") != INITIALS) | F.col("said").isNull() | F.col("here"))
+    alike = hits.groupBy("value", "way", "edits").agg(F.collect_set("entry").alias("all"), F.collect_set(F.when(F.col("here"), F.col("entry"))).alias("here"))
+    nearest = alike.groupBy("value").agg(F.min_by(F.struct("all", "here", "edits"), F.struct("way", "edits")).alias("x"))
+    entry = F.when(F.size("x.all") == 1, F.get("x.all", F.lit(0))).when(F.size("x.here") == 1, F.get("x.here", F.lit(0)))
+    out = values.join(nearest, "value", "left").select("value", "times", entry.alias("entry"), F.col("x.edits").alias("edits"))
+    return out.select("value", "times", F.coalesce("entry", F.lit(NONE)).cast("bigint").alias("entry"), F.when(F.col("entry").isNull(), -1).otherwise(F.col("edits")).cast("int").alias("edits"))
 
 
 def elements(records: DataFrame, key: str, fields: list[str]) -> DataFrame:

@@ -119,6 +119,17 @@ def test_mapping(spark, shard):
     assert {r.entry for r in canonical.canonicalized(df, ref.limit(0)).collect()} == {-1}
 
 
+@pytest.mark.parametrize("shard", [1, 2, 3])
+def test_shards_make_no_difference(spark, shard):
+    """Ties inside a shard and between shards, settled by place or not, as in one tree."""
+    entries = [(1, "Northern Water Board", "Arvo"), (2, "Northern Water Board", "Belt"), (3, "Northern Water Bord", "Cray"), (4, "Southern River Institute", "Arvo"), (5, "Sandy Rock Institute", "Dell"), (6, "Southern Rivers Institute", "Belt"), (7, "Arvo Lake Trust", "Cray"), (8, "Arvo Lake Trust", "Eskerdale"), (9, "Eskerdale", "Belt"), (10, "Northern Water Board", None)]
+    typed = ["Northern Water Board", "Northern Water Board, Belt", "Northern Water Bord", "Northern Water Boad, Cray", "Northern Water Boad, Arvo", "SRI", "SRI, Dell", "SRI, Belt", "S.R.I., Cray", "Southern River Institute, Belt", "Southern Riverr Institute", "Arvo Lake Trust", "Arvo Lake Trst, Eskerdale", "Eskerdale", "Eskerdale, Belt", "ALT, Cray", "NWB", "", "nothing"]
+    values = spark.createDataFrame([(t, 1) for t in typed], "value string, times long")
+    ref = spark.createDataFrame(entries, "institution_id int, canonical string, city string")
+    tree = canonical.Matcher(entries)
+    assert rows(canonical.mapped(values, ref, shard=shard), "value", "edits", "entry") == sorted((t, *tree.best(t)) for t in typed)
+
+
 # 3
 
 RECORD = "record_id long, doi string, doi_source string, title_openalex string, title_crossref string, abstract_crossref string, authors_crossref array<string>, authors array<string>, retrieved_at timestamp, field string"
