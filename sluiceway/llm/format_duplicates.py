@@ -1,9 +1,9 @@
 """Problem 4: records that are the same but for formatting, by progressive partition refinement.
 
-A value's *core* is the DOI in it, freed of its dress. Rows are first classed by invariants that
-are cheap to compare, the core's length and letter histogram folded into one number; only classes
-with several members go on to the costlier key, the core itself. Equal cores have equal
-invariants, so no copy is lost on the way.
+A value's *core* is the DOI in it, freed of its dress; it is computed for every row, as nothing of
+the raw value is the same in every dress. Rows are first classed by invariants of the core that are
+cheap to compare, its length and letter histogram folded into one number; only classes with several
+members are grouped by the core itself. Equal cores have equal invariants, so no copy is lost.
 """
 
 from __future__ import annotations
