@@ -1,7 +1,7 @@
 """Problem 6: matching entities across sources without keys, by graph embeddings and hyperplane hashing.
 
-Names of both sources hang in a graph of records, attributes (initial and surname) and tokens
-(q-grams). Random walks over it train skip-gram vectors of the tokens; an attribute's vector is the
+Names of both sources make a graph of attributes (initial and surname) and tokens (q-grams); records
+are left out of it. Random walks over it train skip-gram vectors of the tokens; an attribute's vector is the
 rarity-weighted sum of its tokens'. Attributes of one initial whose vectors share a bucket in one of
 several tables of hyperplane signs bring their names together, which are compared exactly, and a
 logistic curve turns the cosine of a match into a confidence. Years and what a record says of the
