@@ -112,21 +112,21 @@ def hashed(records: DataFrame, key: str, doi: str, source: str, when: str, names
 
 
 def votes(rows: DataFrame) -> DataFrame:
-    """``core, family, h, votes``: for each different value of a group which source claims it in how many different records, and the latest claim. ``rows``: those of ``hashed``.
+    """``core, family, h, size, longest, votes``: for each different value of a group which source claims it in how many different records, and the latest claim. ``rows``: those of ``hashed``, with what holds for their whole group.
 
     Counted in two steps keyed by value, source and record, so a group of any size is spread.
     """
     parts = F.array(*(F.struct(F.lit(f).alias("field"), F.lit(family).alias("family"), F.col(f"h{i}").alias("h")) for i, (f, family) in enumerate(FIELDS.items())))
-    each = rows.select("core", "source", "print", F.struct("t", (-F.col("id")).alias("neg")).alias("at"), F.explode(parts).alias("x")).filter("x.h is not null")
+    each = rows.select("core", "source", "print", "size", "longest", F.struct("t", (-F.col("id")).alias("neg")).alias("at"), F.explode(parts).alias("x")).filter("x.h is not null")
     src = F.concat_ws("/", "source", "x.field").alias("src")
-    once = each.groupBy("core", "x.family", "x.h", src, "x.field", "print").agg(F.max("at").alias("at"))
-    by = once.groupBy("core", "family", "h", "src", "field").agg(F.count("*").alias("k"), F.max("at").alias("at"))
-    return by.groupBy("core", "family", "h").agg(F.array_sort(F.collect_list(F.struct("src", "k", "field", "at"))).alias("votes"))  # an element for each source
+    once = each.groupBy("core", "x.family", "x.h", src, "x.field", "print").agg(F.max("at").alias("at"), F.first("size").alias("size"), F.first("longest").alias("longest"))
+    by = once.groupBy("core", "family", "h", "src", "field").agg(F.count("*").alias("k"), F.max("at").alias("at"), F.first("size").alias("size"), F.first("longest").alias("longest"))
+    return by.groupBy("core", "family", "h").agg(F.first("size").alias("size"), F.first("longest").alias("longest"), F.array_sort(F.collect_list(F.struct("src", "k", "field", "at"))).alias("votes"))  # an element for each source
 
 
 def valued(records: DataFrame, rows: DataFrame, groups: DataFrame, key: str, doi: str) -> DataFrame:
-    """``core, family, h, votes, value, n, sign``: the different values of all groups of two or more, as texts."""
-    own = votes(join_groups(rows, groups.select("core", "size"), ["core"], "size"))
+    """``core, family, h, size, longest, votes, value, n, sign``: the different values of all groups of two or more, as texts."""
+    own = votes(join_groups(rows.drop("longest"), groups.select("core", "size", "longest"), ["core"], "size"))
     parts = F.array(*(F.struct(F.lit(family).alias("family"), flat(f).alias("value"), (F.size(f) if family == "authors" else F.lit(0)).alias("n")) for f, family in FIELDS.items()))
     texts = records.select(doi_core(F.col(doi)).alias("core"), F.explode(parts).alias("x")).filter("core is not null and x.value is not null")
     texts = texts.groupBy("core", "x.family", F.xxhash64("x.value").alias("h")).agg(F.first("x.value").alias("value"), F.first("x.n").alias("n"))
@@ -162,7 +162,7 @@ def continued(v: DataFrame) -> DataFrame:
     return here.filter(goes_on).select("core", "family", "h", F.expr("substr(next.value, length(value) + 1)").alias("rest"))
 
 
-def evidence(v: DataFrame, groups: DataFrame) -> DataFrame:
+def evidence(v: DataFrame) -> DataFrame:
     """``v`` with ``more`` (a kind of MORE) and, where another value says more, ``all``: how many claims its group makes of values without a sign."""
     rest = continued(v)
     said = rest.groupBy(F.xxhash64("rest").alias("said")).agg(F.count("*").alias("times"))
@@ -172,7 +172,6 @@ def evidence(v: DataFrame, groups: DataFrame) -> DataFrame:
     rest = rest.withColumn("said", F.xxhash64("rest")).join(said, "said").select("core", "family", "h", kind.alias("goes_on"))
     k = F.aggregate("votes", F.lit(0).cast("bigint"), lambda a, x: a + x["k"])
     v = v.drop("value").join(rest, ["core", "family", "h"], "left")
-    v = join_groups(v, groups.select("core", "size", "longest"), ["core"], "size")
     short = (F.col("family") == "authors") & (F.col("sign") == "none") & (F.col("n") < F.col("longest"))
     v = v.withColumn("more", F.when(short, "names").otherwise(F.coalesce("goes_on", F.lit("nothing")))).withColumn("k", k).drop("goes_on", "n", "longest")
     total = v.filter("sign = 'none'").groupBy("core", "family").agg(F.sum("k").alias("all"), F.max("size").alias("size"), F.max(F.col("more") != "nothing").alias("open")).filter("open").drop("open")
@@ -238,7 +237,7 @@ def posterior(patterns: DataFrame, claims: DataFrame, pairs: DataFrame, by: Para
 
 def estimated(scored: DataFrame, claims: DataFrame, pairs: DataFrame, items: DataFrame, chance: dict) -> Parameters:
     """Parameters from posteriors over all values: ``scored`` has ``pattern, family, sign, more, times, p``."""
-    s = scored.select("pattern", "family", "sign", "more", "times", "p")
+    s = cut(scored.select("pattern", "family", "sign", "more", "times", "p"))
     by_src = claims.join(s.select("pattern", "times", "p"), "pattern").groupBy("src").agg(F.sum(F.col("k") * F.col("times") * F.col("p")).alias("good"), F.sum(F.col("k") * F.col("times")).alias("n"))
     accuracy = cut(by_src.select("src", F.least(F.lit(0.99), F.greatest(F.lit(0.05), (F.col("good") + ACCURACY * ACCURACY_CLAIMS) / (F.col("n") + ACCURACY_CLAIMS))).alias("a")))
     both = pairs.join(s.select("pattern", "times", "p"), "pattern").groupBy("a", "b").agg(F.sum(F.col("times") * F.col("p")).alias("kt"), F.sum(F.col("times") * (1 - F.col("p"))).alias("kf"))
@@ -289,13 +288,13 @@ def judged(records: DataFrame, key: str = "record_id", doi: str = "doi", source:
     groups = cut(rows.groupBy("core").agg(F.min("id").alias("first_record_id"), F.count("*").alias("size"), F.max("longest").alias("longest")).filter("size > 1"))
     v = valued(records, rows, groups, key, doi).join(frequent(rows), ["family", "h"], "left")
     v = cut(v.withColumn("sign", F.when(F.col("stands_in") & (F.col("sign") == "none"), "frequent").otherwise(F.col("sign"))).drop("stands_in"))
-    v = evidence(v, groups)
+    v = evidence(v)
     sources = F.transform("votes", lambda x: F.struct(x["src"].alias("src"), x["k"].alias("k")))
     v = cut(v.withColumn("pattern", F.xxhash64("family", "sign", "more", "all", sources.cast("array<struct<src:string,k:bigint>>"))))
     patterns = cut(v.groupBy("pattern").agg(F.first("family").alias("family"), F.first("sign").alias("sign"), F.first("more").alias("more"), F.first("all").alias("all"), F.first(sources).alias("votes"), F.count("*").alias("times")))
-    claims = cut(patterns.select("pattern", F.explode("votes").alias("x")).select("pattern", "x.*"))
+    claims = patterns.select("pattern", F.explode("votes").alias("x")).select("pattern", "x.*")
     couple = lambda c: F.flatten(F.transform(c, lambda x: F.transform(F.filter(c, lambda y: (y["src"] < x["src"]) | ((y["src"] == x["src"]) & (x["k"] > 1))), lambda y: F.struct(x["src"].alias("a"), y["src"].alias("b")))))
-    pairs = cut(patterns.select("pattern", F.explode(couple(F.col("votes"))).alias("x")).select("pattern", "x.*"))
+    pairs = patterns.select("pattern", F.explode(couple(F.col("votes"))).alias("x")).select("pattern", "x.*")
     each = v.select("core", "family", F.explode(sources).alias("x")).groupBy("core", "family", "x.src").agg(F.sum("x.k").alias("k"))
     each = each.groupBy("core", "family").agg(F.array_sort(F.collect_list(F.struct("src", "k"))).alias("votes"))  # an element for each source
     items = cut(each.select(F.explode(couple(F.col("votes"))).alias("x")).groupBy("x.a", "x.b").agg(F.count("*").alias("k")))

@@ -157,7 +157,7 @@ def test_best_values(spark):
 
 def test_votes_are_counted_exactly(spark):
     """Each of 2,000 values has twelve different votes of one source and one that is repeated."""
-    claimed = spark.range(2000).selectExpr("cast(id as string) core", "explode(sequence(0, 12)) v", "id").selectExpr("core", "id * 100 + v id", "timestamp'2024-01-01' t", "'s' source", "id * 100 + v % 12 print", "0 longest", "1L h0", "cast(null as long) h1", "cast(null as long) h2", "cast(null as long) h3")
+    claimed = spark.range(2000).selectExpr("cast(id as string) core", "explode(sequence(0, 12)) v", "id").selectExpr("core", "id * 100 + v id", "timestamp'2024-01-01' t", "'s' source", "id * 100 + v % 12 print", "2L size", "0 longest", "1L h0", "cast(null as long) h1", "cast(null as long) h2", "cast(null as long) h3")
     got = fusion.votes(claimed).selectExpr("family", "h", "size(votes) n", "votes[0].src src", "votes[0].k k", "votes[0].at.neg + cast(core as long) * 100 first").distinct().collect()
     assert [tuple(r) for r in got] == [("title", 1, 1, "s/title_openalex", 12, 0)]
 
