@@ -9,8 +9,9 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Tokens at most that are known as given names; names of others are read both ways round where it matters.
-MOST_GIVEN = 5000
+from sluiceway.functions.text import latin_ascii
+from sluiceway.operators.skew import join_groups
+
 #: Letters from which a word may be two edits from its like, not one.
 TWO_SLIPS = 8
 
@@ -20,7 +21,7 @@ NICKNAMES = {
         "abigail": "abby abbie gail", "alexander": "alex alec sasha xander", "andrew": "andy drew", "anthony": "tony", "barbara": "barb barbie babs", "benjamin": "ben benny benji", "charles": "charlie chuck chas chaz",
         "christopher": "chris kit topher", "daniel": "dan danny", "deborah": "deb debbie debby", "edward": "ed eddie ted teddy ned", "elizabeth": "liz beth lizzie betty eliza betsy", "francisco": "paco pancho frank",
         "gabriela": "gaby gabby", "gregory": "greg", "isabella": "bella izzy", "james": "jim jimmy jamie", "jeffrey": "jeff geoff", "jennifer": "jen jenny jenn", "joseph": "joe joey", "katherine": "kate kathy katie kat kay",
-        "kenneth": "ken kenny", "lawrence": "larry lars_", "margaret": "peggy maggie meg marge", "matthew": "matt", "michael": "mike mick mickey", "nicholas": "nick nicky", "patricia": "pat patty trish tricia",
+        "kenneth": "ken kenny", "lawrence": "larry", "margaret": "peggy maggie meg marge", "matthew": "matt", "michael": "mike mick mickey", "nicholas": "nick nicky", "patricia": "pat patty trish tricia",
         "philip": "phil", "raymond": "ray", "rebecca": "becky becca", "richard": "rick dick rich ricky", "robert": "bob rob bobby robbie bert", "ronald": "ron ronnie", "samuel": "sam sammy", "steven": "steve",
         "susan": "sue susie suzy", "theodore": "theo", "thomas": "tom tommy", "timothy": "tim timmy", "victoria": "vicky vicki tori", "william": "bill will billy willy liam", "stephen": "steph",
     }.items()
@@ -164,17 +165,24 @@ def alike(a: tuple[str, tuple[str, ...]], b: tuple[str, tuple[str, ...]]) -> flo
     return (monge_elkan(ga, gb) * n + surname) / (n + 1)
 
 
-def given_names(names: DataFrame, column: str = "name", most: int = MOST_GIVEN) -> frozenset[str]:
-    """Tokens that stand where given names stand: counted over all names, the ``most`` most frequent are kept.
+def known_given(names: DataFrame, column: str = "name") -> DataFrame:
+    """``t, g``: tokens that stand where given names stand, and how often; counted over all names.
 
     "Last, First" shows the order for sure and counts three times.
     """
-    plain = F.regexp_replace(F.lower(F.col(column)), r"[^\p{L}, ]", " ")
+    plain = F.regexp_replace(F.lower(latin_ascii(F.col(column))), r"[^\p{L}, ]", " ")
     comma = F.contains(plain, F.lit(","))
     tokens = lambda c: F.filter(F.split(F.trim(c), r"\s+"), lambda x: F.length(x) > 2)
     back, front = tokens(F.substring_index(plain, ",", 1)), tokens(F.substring_index(plain, ",", -1))
     first, last = F.when(comma, F.get(front, F.lit(0))).otherwise(F.get(back, F.lit(0))), F.when(comma, F.get(back, F.lit(0))).otherwise(F.try_element_at(back, F.lit(-1)))
     weight = F.when(comma, 3).otherwise(1)
     each = names.filter(F.col(column).isNotNull() & (F.size(back) > F.when(comma, 0).otherwise(1))).select(F.explode(F.array(F.struct(first.alias("t"), weight.alias("g"), F.lit(0).alias("s")), F.struct(last.alias("t"), F.lit(0).alias("g"), weight.alias("s")))).alias("x"))
-    counts = each.filter("x.t is not null").groupBy("x.t").agg(F.sum("x.g").alias("g"), F.sum("x.s").alias("s")).filter("g >= 3 and g > 2 * s")
-    return frozenset(fold(r.t) for r in counts.orderBy(F.desc("g"), "t").limit(most).collect())
+    return each.filter("x.t is not null").groupBy("x.t").agg(F.sum("x.g").alias("g"), F.sum("x.s").alias("s")).filter("g >= 3 and g > 2 * s").select("t", "g")
+
+
+def with_given(names: DataFrame) -> DataFrame:
+    """``name, given``: each different name with those of its words that are known as given names (null without any). A word that a large share of the names has is joined by broadcast."""
+    distinct = names.select("name").filter("name is not null").distinct()
+    words = F.array_distinct(F.filter(F.split(F.regexp_replace(F.lower(latin_ascii(F.col("name"))), "['\u2019]", ""), r"[^\p{L}]+"), lambda x: F.length(x) > 2))
+    found = join_groups(distinct.select("name", F.explode(words).alias("t")), known_given(distinct), ["t"], "g")
+    return distinct.join(found.groupBy("name").agg(F.collect_set("t").alias("given")), "name", "left")

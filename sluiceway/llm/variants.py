@@ -75,18 +75,18 @@ def hash_of(gram: str) -> int:
     return out
 
 
-def keyed(names: DataFrame, given: frozenset[str]) -> DataFrame:
-    """``name, node, entry, surname``: each name's spelling-free form and the (initial, surname) entries it may stand under."""
+def keyed(names: DataFrame) -> DataFrame:
+    """``name, node, entry, surname``: each name's spelling-free form and the (initial, surname) entries it may stand under. ``names``: see ``names.with_given``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for name in batch["name"]:
+            for name, known in zip(batch["name"], batch["given"], strict=True):
                 if words := N.group_words(N.fold(name)):
                     node = "g|" + " ".join(words)
                     rows += [(name, node, f"{N.initials_of(words)}|{words[0]}", words[0]), (name, node, f"{words[1][0]}|{words[0]}", words[0]), (name, node, f"|{N.initials_of(words)}", N.initials_of(words))]
                     continue
-                ways = N.readings(name, given)
+                ways = N.readings(name, frozenset(known) if known is not None else frozenset())
                 surname, own = ways[0]
                 if not surname:
                     continue
@@ -96,7 +96,7 @@ def keyed(names: DataFrame, given: frozenset[str]) -> DataFrame:
                     rows.append((name, node, f"{initial}|{s}", s))
             yield pd.DataFrame(rows, columns=["name", "node", "entry", "surname"])
 
-    return names.select("name").mapInPandas(run, "name string, node string, entry string, surname string")
+    return names.select("name", "given").mapInPandas(run, "name string, node string, entry string, surname string")
 
 
 def banded(entries: DataFrame, likeness: float = LIKENESS, recall: float = RECALL) -> DataFrame:
@@ -210,7 +210,7 @@ def clusters(names: DataFrame, likeness: float = LIKENESS, recall: float = RECAL
     mentions, so a name borne by a third of all rows is one entry.
     """
     distinct = names.select("name").filter("name is not null").distinct()
-    keys = cut(keyed(distinct, N.given_names(distinct)))
+    keys = cut(keyed(N.with_given(distinct)))
     star = cut(stars(cut(links(keys, likeness, recall, least))))
     nodes = keys.select("name", "node").distinct().join(star, "node", "left")
     return nodes.select("name", F.coalesce("centre", "node").alias("cluster"), F.coalesce("score", F.lit(1.0)).alias("score"))
