@@ -178,8 +178,10 @@ def hashed(entries: DataFrame, vectors: Vectors, planes: int, tables: int) -> Da
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            b = vectors.buckets(list(batch["entry"]), planes, tables)
-            yield pd.DataFrame({"entry": np.repeat(batch["entry"].to_numpy(), b.shape[1]), "bucket": b.ravel().astype(np.int64)})
+            for lo in range(0, len(batch), 1000):  # signs of all planes at once would take much memory
+                part = batch["entry"].iloc[lo : lo + 1000]
+                b = vectors.buckets(list(part), planes, tables)
+                yield pd.DataFrame({"entry": np.repeat(part.to_numpy(), b.shape[1]), "bucket": b.ravel()})
 
     spread = max(2, int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # a set number, or few tasks would hash all
     return entries.select("entry").repartition(spread, "entry").mapInPandas(run, "entry string, bucket bigint")
