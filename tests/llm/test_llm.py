@@ -267,10 +267,36 @@ def test_formatting(spark):
     assert got == [(0, i, len(SAME) + 1) for i in [*range(1, len(SAME)), len(data) - 1]]
     assert format_duplicates.copies(df.limit(0)).count() == 0
     assert sorted(r.n_copies for r in format_duplicates.collapsed(df).collect()) == [1, 1, 1, 1, len(SAME) + 1]
+    for hot in (1, 2):  # large classes are taken another way
+        assert rows(format_duplicates.copies(df, most_hot=hot, hot_rows=2)) == got
     long = spark.createDataFrame([(1, LONG + "10.1234/a1"), (2, "10.1234/A1 " + LONG)], "id long, value string")
     assert rows(format_duplicates.copies(long)) == [(1, 2, 2)]
 
 
+def dressed(rng, doi):
+    """``doi`` written in some way: case, marks, blanks, encoding, label, resolver, quotes, other fields."""
+    head, suffix = doi.split("/")
+    suffix = "".join(rng.choice(["", "", "", ".", "-", "_", "–", "\u200b", " . ", "("]) + c for c in suffix) if rng.random() < 0.5 else suffix
+    text = f"{head}{rng.choice(['/', '//', ' / ', '%2F', '%252F'])}{suffix}"
+    text = rng.choice([str, str.upper, lambda t: t.replace("10.", "10 . ", 1)])(text)
+    return rng.choice(["", "doi:", "https://doi.example.org/", "\u201c", "2024; ", "id=", "DOI ", "vol 10. 3; ", "\ufeff"]) + text + rng.choice(["", ".", "\u201d", "; 2020", "&date=2020", " ", "\r", ", p. 10.", "?x=1"])
+
+
+def test_classes_lose_no_copy(spark):
+    """Values with one core have one class, however they are written; what is found equals grouping by the core alone."""
+    rng = random.Random(7)
+    dois = [f"10.{rng.randint(1000, 999999)}/" + "".join(rng.choice("abc019") for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    data = [(i, dressed(rng, rng.choice(dois))) for i in range(3000)] + [(5000 + i, t) for i, t in enumerate(NONE)]
+    df = spark.createDataFrame(data, "id long, value string").select("*", format_duplicates.doi_core(F.col("value")).alias("core"), format_duplicates.doi_class(F.col("value")).alias("class"), format_duplicates.simple_letters(F.col("value")).alias("simple")).cache()
+    found = df.filter("core is not null")
+    assert found.groupBy("core").agg(F.countDistinct("class").alias("n")).filter("n <> 1").count() == 0 and found.filter("class is null").count() == 0
+    assert found.filter("simple is not null and simple <> replace(core, '/', '')").count() == 0 and found.filter("simple is not null").count() > 400
+    groups = {}
+    for r in found.orderBy("id").collect():
+        groups.setdefault(r.core, []).append(r.id)
+    assert rows(format_duplicates.copies(df.select("id", "value"))) == sorted((g[0], i, len(g)) for g in groups.values() for i in g[1:])
+
+
 # 5
 
 
