@@ -27,6 +27,8 @@ ALIKE = 0.78
 #: Letters up to which surnames are also indexed by what is left of them without as many letters as they may have slips: two slips
 #: make shorter words less like than LIKENESS (two swaps in n letters leave (n - 5) / (n + 7)), and the banding misses them.
 INDEXED = 15
+#: Pairs under two entries above which only names whose first given names may be one are compared; letters up to which given names are told apart for that.
+MANY_PAIRS, GIVEN_INDEXED = 10_000, 30
 SEED = 7
 
 
@@ -154,17 +156,76 @@ def verified(pairs: DataFrame, least: float = ALIKE) -> DataFrame:
     return pairs.mapInPandas(run, "a string, b string, score double")
 
 
-def links(keys: DataFrame, likeness: float = LIKENESS, recall: float = RECALL, least: float = ALIKE) -> DataFrame:
-    """``a, b, score`` with a < b: verified links between nodes."""
-    at = keys.select("node", "entry").distinct()
+def given_keys(node: str, entry: str) -> set[str] | None:
+    """What the first given name of a node, or the second word of a group's name, has in common with every one that ``names.token_similarity`` may take for it; null if it may go with any (an initial, or none). ``entry``: that the node stands under, in the one order or turned round."""
+    if node[0] == "g":
+        word = node[2:].split(" ")[1]
+    else:
+        _, surname, own = node.split("|")
+        own = own.split(" ")
+        word = own[0] if entry.partition("|")[2] == surname else own[1] if len(own) > 1 else surname
+    if len(word) <= 1:
+        return None
+    if len(word) > GIVEN_INDEXED:
+        return {"long"}
+    forms = {word, N.NICKNAMES.get(word, word)}
+    out = {x for w in forms for x in _without(w, 2 if len(w) >= N.TWO_SLIPS else 1)}
+    if len(word) > GIVEN_INDEXED - 3:
+        out.add("long")
+    if (full := N.NICKNAMES.get(word[:-1])) is not None:  # an initial stuck to a nickname
+        out.add(full)
+    return out
+
+
+def _without(word: str, letters: int) -> set[str]:
+    """``word`` and what is left of it without up to so many letters."""
+    out = last = {word}
+    for _ in range(letters):
+        last = {w[:i] + w[i + 1 :] for w in last for i in range(len(w))}
+        out = out | last
+    return out
+
+
+def among_many(near: DataFrame, at: DataFrame) -> DataFrame:
+    """``a, b``: the pairs of nodes under pairs of entries (``entry, entry2``) whose given names may be one. ``at``: node, entry.
+
+    Names with only an initial are compared with all; there are few such under one entry.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keys = [given_keys(n, e) for n, e in zip(batch["node"], batch["entry"], strict=True)]
+            keys = [sorted(k) if k is not None else [None] for k in keys]
+            sizes = [len(k) for k in keys]
+            yield pd.DataFrame({"entry": np.repeat(batch["entry"].to_numpy(), sizes), "node": np.repeat(batch["node"].to_numpy(), sizes), "given": [x for k in keys for x in k]})
+
+    own = near.select("entry").unionByName(near.select(F.col("entry2").alias("entry"))).distinct()
+    told = cut(at.join(own, "entry", "left_semi").select("entry", "node").mapInPandas(run, "entry string, node string, given string"))
+    a, b = told.withColumnRenamed("node", "a"), told.select(F.col("entry").alias("entry2"), F.col("node").alias("b"), "given")
+    same = near.join(a.filter("given is not null"), "entry").join(b.filter("given is not null"), ["entry2", "given"])
+    every = lambda x, node: x.select(x.columns[0], node).distinct()
+    bare = near.join(a.filter("given is null"), "entry").join(every(b, "b"), "entry2").select("a", "b").unionByName(near.join(b.filter("given is null"), "entry2").join(every(a, "a"), "entry").select("a", "b"))
+    return same.select("a", "b").unionByName(bare)
+
+
+def links(keys: DataFrame, likeness: float = LIKENESS, recall: float = RECALL, least: float = ALIKE, many: int = MANY_PAIRS) -> DataFrame:
+    """``a, b, score`` with a < b: verified links between nodes.
+
+    Under entries with few nodes all are compared; where there would be more than ``many`` pairs, those whose given names may be one (the others fail the check anyway).
+    """
+    at = cut(keys.select("node", "entry").distinct())
     entries = keys.select("entry", "surname").distinct()
     band = banded(entries, likeness, recall)
     other = band.withColumnRenamed("entry", "entry2")
     near = band.join(other, "band").filter("entry < entry2").select("entry", "entry2").distinct()
     short = lambda c: F.substring_index(c, "|", -1)
-    near = near.filter(F.levenshtein(short(F.col("entry")), short(F.col("entry2"))) <= F.when(F.least(F.length(short(F.col("entry"))), F.length(short(F.col("entry2")))) >= 8, 4).otherwise(2))
+    near = near.filter(F.levenshtein(short(F.col("entry")), short(F.col("entry2"))) <= F.when(F.least(F.length(short(F.col("entry"))), F.length(short(F.col("entry2")))) >= N.TWO_SLIPS, 4).otherwise(2))
     near = near.unionByName(entries.select("entry", F.col("entry").alias("entry2")).distinct())
-    pairs = near.join(at.withColumnRenamed("node", "a"), "entry").join(at.select(F.col("node").alias("b"), F.col("entry").alias("entry2")), "entry2")
+    size = at.groupBy("entry").agg(F.count("*").alias("n"))
+    near = cut(near.join(size, "entry").join(size.select(F.col("entry").alias("entry2"), F.col("n").alias("m")), "entry2"))
+    few, crowded = near.filter(F.col("n") * F.col("m") <= many), near.filter(F.col("n") * F.col("m") > many)
+    pairs = few.join(at.withColumnRenamed("node", "a"), "entry").join(at.select(F.col("node").alias("b"), F.col("entry").alias("entry2")), "entry2").select("a", "b")
+    pairs = pairs.unionByName(among_many(crowded.select("entry", "entry2"), at))
     pairs = pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return verified(pairs, least)
 
@@ -172,15 +233,16 @@ def links(keys: DataFrame, likeness: float = LIKENESS, recall: float = RECALL, l
 def stars(edges: DataFrame) -> DataFrame:
     """``node, centre, score`` from links: star clustering.
 
-    In each round the free nodes that come before all their free neighbours, by number of links and
-    then by name, become centres, and free neighbours of new centres are taken; a node joins the
-    centre it is most like. Every node of ``edges`` is in one star; a node is never farther than one
-    link from its centre.
+    In each round the free nodes that come before all their free neighbours, by number of links,
+    length and then hash, become centres, and free neighbours of new centres are taken; a node joins
+    the centre it is most like. Every node of ``edges`` is in one star; a node is never farther than
+    one link from its centre. Among nodes with as many links the hash makes the order random, so
+    chains of any length take a number of rounds that grows with the logarithm of theirs.
     """
     both = edges.select(F.col("a").alias("node"), F.col("b").alias("peer"), "score").unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("peer"), "score"))
     degree = both.groupBy("node").agg(F.count("*").alias("links"))
     # a bare word, such as initials that several groups share, becomes a centre last
-    rank = lambda c: F.struct(c.rlike(r"^p\|[^|]*\|$").alias("bare"), (-F.col("links")).alias("l"), (-F.length(c)).alias("n"), c.alias("c"))
+    rank = lambda c: F.struct(c.rlike(r"^p\|[^|]*\|$").alias("bare"), (-F.col("links")).alias("l"), (-F.length(c)).alias("n"), F.xxhash64(c).alias("h"), c.alias("c"))
     ranked = degree.select("node", rank(F.col("node")).alias("rank"))
     both = cut(both.join(ranked, "node").join(ranked.select(F.col("node").alias("peer"), F.col("rank").alias("peer_rank")), "peer"))
     free, centres = both, None
@@ -211,7 +273,7 @@ def clusters(names: DataFrame, likeness: float = LIKENESS, recall: float = RECAL
     """
     distinct = names.select("name").filter("name is not null").distinct()
     keys = cut(keyed(N.with_given(distinct)))
-    star = cut(stars(cut(links(keys, likeness, recall, least))))
+    star = stars(cut(links(keys, likeness, recall, least)))
     nodes = keys.select("name", "node").distinct().join(star, "node", "left")
     return nodes.select("name", F.coalesce("centre", "node").alias("cluster"), F.coalesce("score", F.lit(1.0)).alias("score"))
 

@@ -82,6 +82,35 @@ def test_stars(spark):
     assert all(n == c or frozenset((n, c)) in near for n, c in got.items())
 
 
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    """A chain of 4,000 equal links: the rounds grow with the logarithm, as ties are broken by hash."""
+    written = []
+    monkeypatch.setattr(variants, "cut", lambda df, own=variants.cut: written.append(1) or own(df))
+    edges = spark.range(4000).selectExpr("concat('p|n', lpad(id, 5, '0'), '|x') a", "concat('p|n', lpad(id + 1, 5, '0'), '|x') b", "0.9D score")
+    star = variants.stars(edges)
+    assert star.count() == star.select("node").distinct().count() == 4001 and len(written) < 2 * 12 + 2
+
+
+def test_many_given_names_under_one_surname(spark, monkeypatch):
+    """Told apart by given names, names find the same links as if all were compared."""
+    rng = random.Random(3)
+    given = ["".join(rng.choice("aeioubdkrst") for _ in range(rng.randint(2, 10))) for _ in range(120)] + ["kate", "katherine", "kathy", "kathyr", "bob", "robert", "elizabethannamariatheodoralouise", "elizabethannamariatheodoraluise", "elizabethannamariatheodoralo", "k", "r", "k a"]
+    given += [slipped(rng, g) for g in given if 3 < len(g) < 30]
+    nodes = sorted({f"p|zorbal|{g}" for g in given} | {"p|zorbal|", "g|zorbal wetland group", "g|zorbal wetlnad group", "p|zorbal|w g"})
+    keys = spark.createDataFrame([(n, e, "zorbal") for n in nodes for e in ("k|zorbal", "k|zorball")] + [(f"p|{g}|zorbal", "k|zorbal", "zorbal") for g in given[:60]], "node string, entry string, surname string")
+    every, told = (rows(variants.links(keys, many=m)) for m in (10**9, 1))
+    assert every == told and len(every) > 190
+
+
+def test_crowded_surname(spark):
+    """Twenty thousand given names under one surname and initial would make 200 million pairs; the compared ones grow with the names."""
+    rng = random.Random(5)
+    given = sorted({"k" + "".join(rng.choice("aeioubdgklmnprstvz") for _ in range(9)) for _ in range(20_000)})
+    keys = spark.createDataFrame([(f"p|zorbal|{g}", "k|zorbal") for g in given], "node string, entry string")
+    near = spark.createDataFrame([("k|zorbal", "k|zorbal")], "entry string, entry2 string")
+    assert variants.among_many(near, keys).filter("a < b").distinct().count() < 20 * len(given)
+
+
 # 2
 
 
