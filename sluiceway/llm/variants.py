@@ -120,7 +120,8 @@ def banded(entries: DataFrame, likeness: float = LIKENESS, recall: float = RECAL
             left = [[hash_of(f"{e.partition('|')[0]}|{x}") for x in shortened(w)] for e, w in zip(batch["entry"], batch["surname"], strict=True)]
             yield pd.DataFrame({"entry": np.repeat(batch["entry"].to_numpy(), [len(x) for x in left]), "band": np.array([h for x in left for h in x], np.uint64).astype(np.int64)})
 
-    return entries.select("entry", "surname").mapInPandas(run, "entry string, band bigint")
+    spread = max(2, int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # a set number, or few tasks would hash all
+    return entries.select("entry", "surname").repartition(spread, "entry").mapInPandas(run, "entry string, band bigint")
 
 
 def _shortened(group: str, other: str) -> float:
@@ -215,7 +216,7 @@ def links(keys: DataFrame, likeness: float = LIKENESS, recall: float = RECALL, l
     """
     at = cut(keys.select("node", "entry").distinct())
     entries = keys.select("entry", "surname").distinct()
-    band = banded(entries, likeness, recall)
+    band = cut(banded(entries, likeness, recall))
     other = band.withColumnRenamed("entry", "entry2")
     near = band.join(other, "band").filter("entry < entry2").select("entry", "entry2").distinct()
     short = lambda c: F.substring_index(c, "|", -1)
