@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.functions import let
 from sluiceway.operators.skew import HOT_ROWS, MOST_HOT, join_groups
+from sluiceway.session import cut
 
 INVISIBLE = r"[\p{Cf}\p{Cc}&&[^\s]]+"
 AROUND = r"[\s\p{Z}]*([./_()\p{Pd}])[\s\p{Z}]*"
@@ -66,7 +67,7 @@ def simple_letters(value: Column) -> Column:
 
 def invariant(letters: Column) -> Column:
     """Length and letter histogram of ``letters``, as one number."""
-    return F.xxhash64(F.length(letters), F.array_join(F.array_sort(F.split(letters, "")), ""))
+    return F.xxhash64(F.length(letters), F.sort_array(F.split(letters, "")))
 
 
 def doi_class(value: Column) -> Column:
@@ -86,8 +87,7 @@ def copies(rows: DataFrame, key: str = "id", value: str = "value", core=doi_core
     1/``most_hot`` of all rows and is shuffled once.
     """
     part = F.col(within) if within else F.lit("")
-    # a value that isn't there has no class; equal values needn't be told from near ones yet
-    raw = rows.select(part.alias("_within"), F.col(key).alias("_id"), F.col(value).alias("_value"), classes(F.col(value)).alias("_class")).filter("_class is not null")
+    raw = cut(rows.select(part.alias("_within"), F.col(key).alias("_id"), F.col(value).alias("_value"), classes(F.col(value)).alias("_class")).filter("_class is not null"))  # a value that isn't there has no class
     several = raw.groupBy("_within", "_class").agg(F.count("*").alias("_members")).filter("_members > 1")
     on = ["_within", "_class"]
     hot = several.filter(F.col("_members") >= hot_rows).orderBy(F.desc("_members"), *on).limit(most_hot)
