@@ -1,14 +1,18 @@
 """Problem 9: mixing sources to target weights, by blocks, multinomial counts and pseudorandom permutations.
 
-The tokens of each source are laid end to end and cut into blocks of one length. For each output
-shard the number of blocks from each source is drawn; the draws are those of a multinomial whose
-totals are held to the targets, so shares don't drift. The k-th slot of a source takes the block
-that a keyed permutation of the source's block numbers gives for k; every block is used once
-before any is used again, and none more often than the source's cap.
+The tokens of each source are laid end to end and cut into blocks of one length. How many blocks each
+output shard takes from each source is drawn by dealing: a keyed permutation of all slots shuffles
+as many cards of each source as its share wants, and a shard takes the next cards. The counts are
+those of a multinomial whose totals are held to the targets, so shares don't drift, at any size and
+without one shard waiting for another. The k-th slot of a source takes the block that a keyed
+permutation of the source's block numbers gives for k; every block is used once before any is used
+again, and none more often than the source's cap.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -20,8 +24,6 @@ from sluiceway.session import cut
 BLOCK, SHARD_BLOCKS, SEED = 256, 4096, 20240501
 #: Tokens in the runs that a source's blocks are cut from; a run is ordered by one task.
 RUN_TOKENS = 50_000_000
-#: Runs and output shards at most; beyond that they grow, so that the plan of the mixture stays a short list.
-MOST_RUNS, MOST_SHARDS = 4000, 10_000
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -58,19 +60,16 @@ def blocks(documents: DataFrame, sources: list[str], key: str, text: str, source
     """Pieces of documents by block, ``source, block, doc, first_token, tokens``, and the numbers of blocks and of tokens of each source."""
     own = documents.filter(F.col(source).isin(sources)).select(F.col(source).alias("source"), F.col(key).alias("doc"), tokens.token_count(F.col(text), path).alias("n"))
     own = cut(own.filter("n > 0"))
-    totals = {r.source: r.n for r in own.groupBy("source").agg(F.sum("n").alias("n")).collect()}
-    run_tokens = max(RUN_TOKENS, sum(totals.values()) / MOST_RUNS)
-    runs = F.create_map(*(F.lit(x) for s in sources for x in (s, max(1, round(totals.get(s, 0) / run_tokens)))))
-    own = own.withColumn("run", F.pmod(F.xxhash64("doc", F.lit(SEED)), F.try_element_at(runs, "source")).cast("int"))
+    totals = {r.source: r.n for r in own.groupBy("source").agg(F.sum("n").alias("n")).collect()}  # a row for each source of the fixed list
+    runs = F.create_map(*(F.lit(x) for s in sources for x in (s, max(1, round(totals.get(s, 0) / RUN_TOKENS)))))
+    own = own.withColumn("run", F.pmod(F.xxhash64("doc", F.lit(SEED)), F.try_element_at(runs, "source")))
     order = Window.partitionBy("source", "run").orderBy(F.xxhash64(F.lit(SEED), "doc"), "doc").rowsBetween(Window.unboundedPreceding, -1)
     own = own.withColumn("start", F.coalesce(F.sum("n").over(order), F.lit(0)))
-    lengths = own.groupBy("source", "run").agg(F.sum("n").alias("n")).orderBy("source", "run").collect()  # a row for each run
-    first, have = {}, dict.fromkeys(sources, 0)
-    for r in lengths:
-        first[f"{r.source}\x1f{r.run}"] = have[r.source]
-        have[r.source] += -(-r.n // block)
-    base = F.create_map(*(F.lit(x) for k, v in (first or {"": 0}).items() for x in (k, v)))
-    own = own.withColumn("base", F.try_element_at(base, F.concat_ws("\x1f", "source", F.col("run").cast("string"))))
+    lengths = own.groupBy("source", "run").agg(F.ceil(F.sum("n") / block).alias("blocks"))  # a row for each RUN_TOKENS
+    before = Window.partitionBy("source").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    lengths = cut(lengths.withColumn("base", F.coalesce(F.sum("blocks").over(before), F.lit(0))))
+    have = dict.fromkeys(sources, 0) | {r.source: r.n for r in lengths.groupBy("source").agg(F.sum("blocks").alias("n")).collect()}
+    own = own.join(lengths.drop("blocks"), ["source", "run"])
     cuts = own.withColumn("k", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("n") - 1) / block))))
     begin, end = F.greatest(F.col("start"), F.col("k") * block), F.least(F.col("start") + F.col("n"), (F.col("k") + 1) * block)
     pieces = cuts.select("source", (F.col("base") + F.col("k")).alias("block"), "doc", (begin - F.col("start")).cast("int").alias("first_token"), (end - begin).cast("int").alias("tokens"))
@@ -92,28 +91,28 @@ def dealt(weight: np.ndarray, most: np.ndarray, n: int) -> np.ndarray:
     return want
 
 
-def plan(targets: list[tuple[str, float, int]], have: dict[str, int], slots: int | None, per_shard: int, seed: int, whole: bool = False) -> list[tuple[int, str, int, int]]:
-    """(shard, source, first ordinal, count): how many slots of each output shard each source fills.
+def wanted(targets: list[tuple[str, float, int]], have: dict[str, int], slots: int | None, whole: bool = False) -> dict[str, int]:
+    """How many slots each source fills.
 
     ``slots`` defaults to the most for which every source that has blocks reaches its share within its cap;
     if ``whole``, it is the number of all blocks at least, and what a source can't fill goes to the others.
     """
     live = [(s, w, c * have[s]) for s, w, c in targets if w > 0 and c > 0 and have.get(s)]
     if not live:
-        return []
+        return {}
     weight = np.array([w for _, w, _ in live])
     weight, most = weight / weight.sum(), np.array([c for *_, c in live], np.int64)
     n = int(np.floor((most / weight).min())) if slots is None else slots
     want = dealt(weight, most, max(n, sum(have[s] for s, *_ in live)) if whole and slots is None else n)
-    per_shard = max(per_shard, -(-int(want.sum()) // MOST_SHARDS))
-    rng, left, done, out = np.random.default_rng(seed), want.copy(), np.zeros_like(want), []
-    shard = 0
-    while left.sum():
-        size = min(per_shard, int(left.sum()))
-        drawn = rng.multivariate_hypergeometric(left, size) if left.sum() < 10**9 else np.minimum(rng.multinomial(size, left / left.sum()), left)
-        out += [(shard, live[i][0], int(done[i]), int(k)) for i, k in enumerate(drawn) if k]
-        left, done, shard = left - drawn, done + drawn, shard + 1
-    return out
+    return {s: int(k) for (s, *_), k in zip(live, want, strict=True)}
+
+
+def drawn(slot: np.ndarray, want: list[int], seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The source (by its place in ``want``) and the source's ordinal that each slot gets: slots are shuffled by one permutation, and each source holds as many places of it as it wants."""
+    total, ends = sum(want), np.cumsum(np.array(want, np.int64))
+    place = permuted(slot, np.full(len(slot), total), np.full(len(slot), seed))
+    which = np.searchsorted(ends, place, side="right")
+    return which, place - np.concatenate([[0], ends])[which]
 
 
 def mixed(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", path: str = tokens.VOCABULARY, block: int = BLOCK, slots: int | None = None, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED, whole: bool = False) -> DataFrame:
@@ -134,22 +133,24 @@ def mixed(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text: s
 def _mixed(documents: DataFrame, targets: DataFrame, key: str, text: str, source: str, path: str, block: int, slots: int | None, shard_blocks: int, seed: int, whole: bool) -> tuple[DataFrame, dict[str, int]]:
     """The mixture, and the number of tokens that each source has."""
     spark = documents.sparkSession
-    wanted = [(r.source, float(r.target_share or 0), int(r.max_repeats or 0)) for r in targets.select("source", "target_share", "max_repeats").filter("source is not null").collect()]
-    pieces, have, totals = blocks(documents, [s for s, *_ in wanted], key, text, source, path, block)
-    rows = plan(wanted, have, slots, shard_blocks, seed, whole)
-    drawn = spark.createDataFrame(rows, "shard int, source string, first bigint, k int")
-    number = {s: i for i, (s, *_) in enumerate(wanted)}
-    sizes = F.create_map(*(F.lit(x) for s, n in (have or {"": 0}).items() for x in (s, n)))
-    names = F.create_map(*(F.lit(x) for s, i in (number or {"": 0}).items() for x in (s, i)))
-
-    @F.pandas_udf("bigint")
-    def block_of(ordinal: pd.Series, n: pd.Series, which: pd.Series) -> pd.Series:
-        o, m = ordinal.to_numpy(np.int64), n.to_numpy(np.int64)
-        return pd.Series(permuted(o % m, m, (which.to_numpy(np.int64) * 1_000_003 + o // m) + seed))
-
-    slot = drawn.select("shard", "source", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("k") - 1)).alias("ordinal"))
-    slot = slot.withColumn("n", F.try_element_at(sizes, "source").cast("bigint"))
-    slot = slot.select("shard", "source", F.xxhash64("shard", "source", "ordinal", F.lit(seed)).alias("slot"), F.floor(F.col("ordinal") / F.col("n")).cast("int").alias("use"), block_of("ordinal", "n", F.try_element_at(names, "source")).alias("block"))
+    aims = [(r.source, float(r.target_share or 0), int(r.max_repeats or 0)) for r in targets.select("source", "target_share", "max_repeats").filter("source is not null").collect()]
+    pieces, have, totals = blocks(documents, [s for s, *_ in aims], key, text, source, path, block)
+    want = wanted(aims, have, slots, whole)
+    order, number = list(want), {s: i for i, (s, *_) in enumerate(aims)}
+    counts = [want[s] for s in order]
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, which_of, names = np.array([have[s] for s in order], np.int64), np.array([number[s] for s in order], np.int64), np.array(order, object)
+        for batch in batches:
+            slot = batch["id"].to_numpy(np.int64)
+            if not len(slot):
+                continue
+            which, ordinal = drawn(slot, counts, seed)
+            use = ordinal // n[which]
+            yield pd.DataFrame({"shard": slot // shard_blocks, "slot": slot, "source": names[which], "use": use.astype(np.int32), "block": permuted(ordinal % n[which], n[which], which_of[which] * 1_000_003 + use + seed)})
+
+    kind = "shard bigint, slot bigint, source string, use int, block bigint"
+    slot = spark.range(sum(counts)).mapInPandas(deal, kind)
     return slot.join(pieces, ["source", "block"]).select("shard", "slot", "source", "block", "use", "doc", "first_token", "tokens"), totals
 
 

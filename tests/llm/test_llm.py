@@ -474,19 +474,25 @@ def test_permutation():
     assert (mixing.permuted(np.arange(100), np.full(100, 100), np.full(100, 8)) != mixing.permuted(np.arange(100), np.full(100, 100), np.full(100, 9))).any()
 
 
-def test_plan():
-    rows_ = mixing.plan([("a", 0.5, 1), ("b", 0.3, 2), ("c", 0.2, 9), ("d", 0.0, 1), ("e", 0.5, 3)], {"a": 100, "b": 30, "c": 10, "d": 5}, None, 16, 1)
-    total = {s: sum(k for _, x, _, k in rows_ if x == s) for s in "abcde"}
-    assert total == {"a": 100, "b": 60, "c": 40, "d": 0, "e": 0}
-    for s in "abc":
-        at = 0
-        for _, x, first, k in sorted(rows_):
-            if x == s:
-                assert first == at
-                at += k
-    capped = mixing.plan([("a", 0.5, 1), ("b", 0.5, 1)], {"a": 10, "b": 2}, 20, 16, 1)
-    assert sum(k for _, x, _, k in capped if x == "b") == 2
-    assert mixing.plan([("a", 1.0, 1)], {}, None, 16, 1) == []
+def test_wanted():
+    have = {"a": 100, "b": 30, "c": 10, "d": 5}
+    targets = [("a", 0.5, 1), ("b", 0.3, 2), ("c", 0.2, 9), ("d", 0.0, 1), ("e", 0.5, 3)]
+    assert mixing.wanted(targets, have, None) == {"a": 100, "b": 60, "c": 40}
+    assert mixing.wanted([("a", 0.5, 1), ("b", 0.5, 1)], {"a": 10, "b": 2}, 20) == {"a": 10, "b": 2}
+    assert mixing.wanted([("a", 1.0, 1)], {}, None) == {}
+    large = mixing.wanted(targets, {k: v * 10**10 for k, v in have.items()}, None)  # shares are the same at any size
+    assert large == {"a": 100 * 10**10, "b": 60 * 10**10, "c": 40 * 10**10}
+
+
+def test_draws_are_multinomial_held_to_totals():
+    """Every ordinal of a source comes once; the counts of shards scatter as draws without replacement do, on both sides of 10^9 slots."""
+    want = [3000, 1500, 500]
+    which, ordinal = mixing.drawn(np.arange(5000), want, 3)
+    assert all(sorted(ordinal[which == i]) == list(range(n)) for i, n in enumerate(want))
+    for scale in (1, 10**6, 10**8):  # up to 5 * 10^11 slots
+        part = [mixing.drawn(np.arange(100) + 100 * scale * k, [n * scale for n in want], 5)[0] for k in range(50)]
+        counts = np.array([np.bincount(x, minlength=3) for x in part])
+        assert (abs(counts.mean(axis=0) - [60, 30, 10]) < [2.5, 2.5, 1.6]).all() and (abs(counts.var(axis=0) / [24, 21, 9] - 1) < 0.6).all()
 
 
 def test_mixing(spark):
@@ -509,9 +515,8 @@ def test_mixing(spark):
 def test_small_sources_dont_shrink_the_mixture(spark):
     """All blocks' worth is mixed; a source too small for its share is used up to its cap and reported, and the others get the rest."""
     targets = [("a", 0.5, 1), ("b", 0.3, 2), ("c", 0.2, 4), ("none", 0.1, 1)]
-    total = lambda have: {s: sum(k for _, x, _, k in mixing.plan(targets, have, None, 16, 1, whole=True) if x == s) for s, *_ in targets}
-    assert total({"a": 100, "b": 60, "c": 1}) == {"a": 98, "b": 59, "c": 4, "none": 0}
-    assert total({"a": 10, "b": 100, "c": 1}) == {"a": 10, "b": 97, "c": 4, "none": 0}
+    assert mixing.wanted(targets, {"a": 100, "b": 60, "c": 1}, None, whole=True) == {"a": 98, "b": 59, "c": 4}
+    assert mixing.wanted(targets, {"a": 10, "b": 100, "c": 1}, None, whole=True) == {"a": 10, "b": 97, "c": 4}
     docs = [(i, " ".join("abcdefgh"[(i + j) % 8] for j in range(16)), "small" if i == 0 else "big") for i in range(101)]
     df = spark.createDataFrame(docs, "doc_id long, text string, source string")
     wanted = spark.createDataFrame([("small", 0.4, 2), ("big", 0.6, 1), ("none", 0.0, 1)], "source string, target_share double, max_repeats int")
