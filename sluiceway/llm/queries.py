@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import canonical, format_duplicates, fusion, linking, mixing, packing, repetition, subjects, variants
-from sluiceway.session import table
+from sluiceway.llm import canonical, format_duplicates, fusion, linking, mixing, packing, repetition, subjects, tokens, variants
+from sluiceway.session import cut, table
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -56,7 +56,7 @@ def p3_survivors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return subjects.unlabelled(table(spark, d, "all_metadata"), table(spark, d, "discipline_labels")).select("record_id", "second_level")
+    return subjects.unlabelled(table(spark, d, "all_metadata"), table(spark, d, "discipline_labels"), most=2).select("record_id", "second_level")
 
 
 def p5_composition(spark: SparkSession, d: str) -> DataFrame:
@@ -80,6 +80,31 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return packing.report(p8_packed(spark, d), table(spark, d, "container_sizes"))
 
 
+def p8_checked(spark: SparkSession, d: str) -> DataFrame:
+    """For each kind of container: documents packed, containers that hold more than they may, documents with tokens missing or twice, documents split without need or unevenly."""
+    kinds, docs = table(spark, d, "container_sizes"), table(spark, d, "documents")
+    bins = cut(p8_packed(spark, d)).join(F.broadcast(kinds.select("container", "capacity_tokens").distinct()), "container")
+    full = bins.groupBy("container", "capacity_tokens", "shard", "bin").agg(F.sum("tokens").alias("held")).groupBy("container", "capacity_tokens").agg(F.sum(F.when(F.col("held") > F.col("capacity_tokens"), 1).otherwise(0)).alias("overfull"))
+    whole = docs.select(F.col("doc_id").alias("doc"), tokens.token_count(F.col("text")).alias("n"))
+    each = bins.groupBy("container", "capacity_tokens", "doc").agg(F.sum("tokens").alias("held"), F.count("*").alias("parts"), F.sum(F.when(F.col("first_token") == F.col("part") * F.col("capacity_tokens"), 0).otherwise(1)).alias("shifted")).join(whole, "doc")
+    wrong = (F.col("held") != F.col("n")) | (F.col("shifted") > 0)
+    split = F.col("parts") != F.greatest(F.lit(1), F.ceil(F.col("n") / F.col("capacity_tokens")))
+    each = each.groupBy("container").agg(F.count("*").alias("documents"), F.sum(wrong.cast("int")).alias("not_whole"), F.sum(split.cast("int")).alias("split_without_need"))
+    return full.join(each, "container").select("container", "capacity_tokens", "documents", "overfull", "not_whole", "split_without_need")
+
+
+def p9_checked(spark: SparkSession, d: str) -> DataFrame:
+    """For each source: slots used too often, blocks whose tokens overlap or are more than a block, whether the share reached is within 0.01 of what caps and targets allow."""
+    docs, targets = table(spark, d, "documents"), table(spark, d, "mix_targets")
+    got = cut(mixing.mixed(docs, targets, whole=True)).join(F.broadcast(targets), "source")
+    often = got.groupBy("source", "doc", "first_token").agg(F.count("*").alias("n"), F.first("max_repeats").alias("most")).groupBy("source").agg(F.sum(F.when(F.col("n") > F.col("most"), 1).otherwise(0)).alias("too_often"))
+    blocks = got.groupBy("source", "slot").agg(F.sum("tokens").alias("n")).groupBy("source").agg(F.sum(F.when(F.col("n") > mixing.BLOCK, 1).otherwise(0)).alias("too_long"))
+    shares = mixing.reported(docs, targets, whole=True)
+    short = (F.col("tokens") >= F.col("available") * F.col("max_repeats") * 0.99) & (F.col("share") <= F.col("target_share") + 0.01)
+    reached = shares.select("source", "target_share", "max_repeats", (short | (F.col("share") >= F.col("target_share") - 0.01)).alias("as_far_as_it_goes"))
+    return reached.join(often, "source").join(blocks, "source")
+
+
 def p9_mixed(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixed(table(spark, d, "documents"), table(spark, d, "mix_targets"), whole=True)
 
@@ -101,8 +126,8 @@ QUERIES = {
     "p2_found": p2_found, "p2_report": p2_report,
     "p3_found": p3_found, "p3_survivors": p3_survivors, "p4_found": p4_found, "p5_found": p5_found, "p5_composition": p5_composition,
     "p6_found": p6_found, "p6_linked": p6_linked,
-    "p8_packed": p8_packed, "p8_report": p8_report,
-    "p9_mixed": p9_mixed, "p9_shares": p9_shares, "p10_found": p10_found, "p10_shares": p10_shares,
+    "p8_packed": p8_packed, "p8_report": p8_report, "p8_checked": p8_checked,
+    "p9_mixed": p9_mixed, "p9_shares": p9_shares, "p9_checked": p9_checked, "p10_found": p10_found, "p10_shares": p10_shares,
 }
 
 def _cores(name: str, key: str) -> str:
@@ -115,6 +140,8 @@ def _cores(name: str, key: str) -> str:
 
 
 ORACLES = {
+    "p8_checked": "select container, capacity_tokens, (select count(*) from documents) as documents, cast(0 as bigint) as overfull, cast(0 as bigint) as not_whole, cast(0 as bigint) as split_without_need from container_sizes where capacity_tokens > 0",
+    "p9_checked": "select source, target_share, max_repeats, true as as_far_as_it_goes, cast(0 as bigint) as too_often, cast(0 as bigint) as too_long from mix_targets where target_share > 0 and source in (select source from documents)",
     "p4_found": f"""with c as ({_cores("dois_manual", "line_id")} union all {_cores("all_metadata", "record_id")}), g as (select *, min(id) over (partition by table_name, core) as first_id from c)
     select table_name, first_id, id as copy_id from g where id <> first_id""",
 }
