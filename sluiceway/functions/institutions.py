@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from sluiceway.functions import let
 from sluiceway.functions.text import latin_ascii, squish, trimws
 
-US = "United States "
-NOAA, NASA, USDA, USGS, EPA = "National Oceanic and Atmospheric Administration", "National Aeronautics and Space Administration", US + "Department of Agriculture", US + "Geological Survey", US + "Environmental Protection Agency"
+NOAA, NASA = "National Oceanic and Atmospheric Administration", "National Aeronautics and Space Administration"
 CUNY, SUNY = "City University of New York", "State University of New York"
 
 # Abbreviations written out, in this order.
@@ -32,7 +31,9 @@ ABBREVIATIONS = (
 )
 # What a sub-unit's name starts with.
 SUBUNITS = "Department|Dept|Division|School|College|Center|Centre|Institute|Laboratory|Lab|Office|Section|Program|Bureau|Delta Modeling Section"
+# What is cut off behind a university's name.
 INNER_UNITS = "College|School|Department|Division|Institute|Center|Faculty|Program"
+# What a company's name ends with.
 COMPANY = r"(?i),?\s+(?:LLC|L\.L\.C\.|Co\.?|Company|Ltd\.?|Limited|Inc\.?|Incorporated|Corporation|Corp\.?)(?:\.|,)?(?=$|\s|\.)"
 # Whole names that are known under another, in this order; the left side is an anchored pattern.
 KNOWN = (
@@ -47,8 +48,8 @@ KNOWN = (
     ("NSW Government", "New South Wales Government"),
     (r"National Center for Agro[-\s]?Meteorology", "National Center for Agro Meteorology"),
     ("National Institute of Meteorological Sciences/Korea Meteorological Administration", "National Institute of Meteorological Sciences"),
-    ("National Weather Service", US + "National Weather Service"),
-    (NOAA, US + NOAA),
+    ("National Weather Service", "United States National Weather Service"),
+    ("National Oceanic and Atmospheric Administration", "United States National Oceanic and Atmospheric Administration"),
     ("Nevada Seismological Laboratory University of Nevada Reno", "University of Nevada Reno"),
     ("Penn State University", "Pennsylvania State University"),
     ("Power China Huadong Engineering", "PowerChina"),
@@ -58,7 +59,7 @@ KNOWN = (
     ("Scripps", "Scripps Institution of Oceanography"),
     ("Southern California Coastal Water Research Project Authority", "Southern California Coastal Water Research Project"),
     ("Stony Brook University State University of New York", "Stony Brook University"),
-    (USDA + " (?:Natural Resources Conservation|Agricultural Research) Service", USDA),
+    ("United States Department of Agriculture (?:Natural Resources Conservation|Agricultural Research) Service", "United States Department of Agriculture"),
     (r"Universita[_\s]+de[_\s]+Bourgogne", "Universita de Bourgogne"),
     (r"Universit\s*extAllCaps\{e\}extAllCaps\{e\}\s+Toulouse\s+III\s*[-–]?\s*Paul\s+Sabatier", "Universite Toulouse III"),
     ("University", "University College Dublin"),
@@ -72,29 +73,37 @@ KNOWN = (
     ("University of North Carolina Chapel Hill", "University of North Carolina at Chapel Hill"),
     ("Wageningen University and Research", "Wageningen University"),
     ("Xi'an University", "Xi'an University of Technology"),
-    ("Bureau of Reclamation", US + "Bureau of Reclamation"),
-    ("Bureau of Land Management", US + "Bureau of Land Management"),
-    ("USGS Pacific Coastal and Marine Science Center", USGS),
-    ("United States Army RDECOM", US + "Army Engineer Research and Development Center"),
+    ("Bureau of Reclamation", "United States Bureau of Reclamation"),
+    ("Bureau of Land Management", "United States Bureau of Land Management"),
+    ("USGS Pacific Coastal and Marine Science Center", "United States Geological Survey"),
+    ("United States Army RDECOM", "United States Army Engineer Research and Development Center"),
     ("European Centre for Medium-Range (?:Forecasts|Weather Forecasting)", "European Centre for Medium-Range Weather Forecasts"),
     ("Florida A&M University[-–]Florida State University.*", "Florida A&M University"),
-    (SUNY + " College of Environmental Science and Forestry", SUNY),
-    ("The Graduate Center(?:,? CUNY| of the City University of New York| City University of New York)", CUNY),
+    ("State University of New York College of Environmental Science and Forestry", "State University of New York"),
+    ("The Graduate Center(?:,? CUNY| of the City University of New York| City University of New York)", "City University of New York"),
     ("Johns Hopkins University Applied Physics Laboratory", "Johns Hopkins University"),
     ("Monterey Bay Aquarium(?: Research)? Institute", "Monterey Bay Aquarium"),
 )
 # Agencies of one department, told by what stands anywhere in the name.
 DEPARTMENT = (
-    (r"USDA[\s-]*ARS|United States Department of Agriculture[,\s-]*(?:Agricultural Research Service|ARS)", USDA),
-    ("National Clonal Germplasm Repository", USDA),
-    ("United States Department of Agriculture.*Forest Service", US + "Forest Service"),
-    ("USDA.*Forest Service", US + "Forest Service"),
-    ("USDA.*Natural Resources Conservation Service", USDA),
-    ("National Aeronautics and Space Administration.*(?:Goddard|Ames)", NASA),
+    (r"USDA[\s-]*ARS|United States Department of Agriculture[,\s-]*(?:Agricultural Research Service|ARS)", "United States Department of Agriculture"),
+    ("National Clonal Germplasm Repository", "United States Department of Agriculture"),
+    ("United States Department of Agriculture.*Forest Service", "United States Forest Service"),
+    ("USDA.*Forest Service", "United States Forest Service"),
+    ("USDA.*Natural Resources Conservation Service", "United States Department of Agriculture"),
+    ("National Aeronautics and Space Administration.*(?:Goddard|Ames)", "National Aeronautics and Space Administration"),
 )
+# Synonyms; pattern, name, without regard to case.
 SYNONYMS = (("^Scripps Institution of Oceanography.*$", "Scripps Institution of Oceanography", True),)
 # Last corrections of canonical names; contained in the value, or the whole of it.
-OUTPUT = ((USGS, USGS), (NASA, US + NASA), ("Rutgers", "Rutgers University"), ("Cramer Fish Sciences", "Cramer Fish Sciences"), (r"\bICF\b", "ICF"), (EPA, EPA))
+OUTPUT = (
+    ("United States Geological Survey", "United States Geological Survey"),
+    ("National Aeronautics and Space Administration", "United States National Aeronautics and Space Administration"),
+    ("Rutgers", "Rutgers University"),
+    ("Cramer Fish Sciences", "Cramer Fish Sciences"),
+    (r"\bICF\b", "ICF"),
+    ("United States Environmental Protection Agency", "United States Environmental Protection Agency"),
+)
 
 
 @dataclass(frozen=True)
@@ -113,22 +122,22 @@ COUNTRY = r"United States(?: of America)?|USA|U\.S\.A\.?|U\.S\."
 STATES = "CA|California|OR|Oregon|WA|Washington|NV|Nevada|AZ|Arizona|TX|Texas"
 # Overrides of proposed names, in this order.
 OVERRIDES = (
-    Override("National Ecological Observation Network Battelle", "National Ecological Observation Network", True),
-    Override("CONICET", "CONICET", True),
-    Override("Ducks Unlimited", "Ducks Unlimited", True),
-    Override(EPA, "Environmental Protection Agency", exact=True),
+    Override("National Ecological Observation Network Battelle", "National Ecological Observation Network", of_original=True),
+    Override("CONICET", "CONICET", of_original=True),
+    Override("Ducks Unlimited", "Ducks Unlimited", of_original=True),
+    Override("United States Environmental Protection Agency", "Environmental Protection Agency", exact=True),
     Override("Cramer Fish Sciences", "Cramer Fish Sciences"),
     Override("Ramboll", "Ramboll"),
-    Override("Broad Institute", "Broad Institute", True),
-    Override("National Center for Atmospheric Research", "NCAR", True, any_case=False),
+    Override("Broad Institute", "Broad Institute", of_original=True),
+    Override("National Center for Atmospheric Research", "NCAR", of_original=True, any_case=False),
     Override(None, "NA", exact=True),
-    Override(US + NASA, NASA, exact=True),
-    Override(US + "National Park Service", "National Park Service", exact=True),
+    Override("United States National Aeronautics and Space Administration", "National Aeronautics and Space Administration", exact=True),
+    Override("United States National Park Service", "National Park Service", exact=True),
     Override("NorthWest Research Associates", "North West Research Associates", exact=True),
     Override("The Ohio State University", "Ohio State University", exact=True),
     Override("Rutgers University", "Rutgers"),
-    Override(US + NOAA, "NOAA/Earth System", True),
-    Override(USGS, USGS),
+    Override("United States National Oceanic and Atmospheric Administration", "NOAA/Earth System", of_original=True),
+    Override("United States Geological Survey", "United States Geological Survey"),
     Override("ICF", "ICF"),
 )
 
@@ -149,7 +158,7 @@ def without_the(c: Column) -> Column:
 
 
 def normalized(c: Column, agency: str | None = None, places: tuple[str, ...] = ()) -> Column:
-    """One pass of all rules. ``agency``: "<place> <name>", the full name that "<name>", alone or with one of ``places``, stands for."""
+    """One pass of all rules; the patterns in it are fixed values. ``agency``: "<place> <name>", the full name that "<name>", alone or with one of ``places``, stands for."""
     v = F.regexp_replace(latin_ascii(trimws(c)), r"\s+", " ")
     v = _fold(v, ABBREVIATIONS)
     v = F.regexp_replace(v, rf"(?i)^(?:(?:{SUBUNITS})[^,]*,\s*)+", "")
@@ -168,7 +177,7 @@ def normalized(c: Column, agency: str | None = None, places: tuple[str, ...] = (
     v = _fold(v, ((r"(?i)\bNOAA\b", NOAA), (r"(?i)National Oceanic and Atmospheric Admin\.?", NOAA)))
     v = _fold(v, ((rf"(?i)({NOAA}).*", "$1"), ("(?i)Administrationistration", "Administration")))
     v = _fold(v, ((r"(?i)^cornell$", "Cornell University"), (r"(?i)^rutgers$", "Rutgers University")))
-    v = _fold(v, ((r"(?<![A-Za-z])U\.S\.(?![A-Za-z])", US.strip()), (r"(?<![A-Za-z])US(?![A-Za-z])", US.strip())))
+    v = _fold(v, ((r"(?<![A-Za-z])U\.S\.(?![A-Za-z])", "United States"), (r"(?<![A-Za-z])US(?![A-Za-z])", "United States")))
     for pattern, target in DEPARTMENT:
         v = _whole(v, pattern, target)
     v = F.regexp_replace(v, r",\s*(?:USA|United States of America)$", "")

@@ -32,7 +32,7 @@ def icontains(c: Column, pattern: str) -> Column:
 
 #: Letters that fall into several, and marks that fall into others.
 EXPANSIONS = {"ß": "ss", "ẞ": "SS", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Þ": "TH", "þ": "th", "…": "...", "ﬁ": "fi", "ﬂ": "fl"}
-SINGLE = {"Ø": "O", "ø": "o", "Ł": "L", "ł": "l", "Đ": "D", "đ": "d", "Ð": "D", "ð": "d", "ı": "i", "‘": "'", "’": "'", "‚": "'", "“": '"', "”": '"', "„": '"', "–": "-", "—": "-", "‐": "-", "‑": "-", "−": "-", "«": "<<"[:1], "»": ">>"[:1], " ": " "}
+SINGLE = {"Ø": "O", "ø": "o", "Ł": "L", "ł": "l", "Đ": "D", "đ": "d", "Ð": "D", "ð": "d", "ı": "i", "‘": "'", "’": "'", "‚": "'", "“": '"', "”": '"', "„": '"', "–": "-", "—": "-", "‐": "-", "‑": "-", "−": "-", "«": "<", "»": ">", " ": " "}
 
 
 def _plain_letters() -> dict[str, str]:

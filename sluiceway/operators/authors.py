@@ -94,8 +94,9 @@ def affiliation_values(works: DataFrame, column: str) -> DataFrame:
 
 
 def _canonical(rows: DataFrame, lookup: DataFrame, value: str) -> DataFrame:
-    """Joins the lookup; ``canonical`` is null on a miss. The lookup grows with the data and is shuffled unless it is small."""
-    one = lookup.groupBy("original").agg(F.min("canonical").alias("canonical"))
+    """Joins the lookup; ``canonical`` is null on a miss. Of several entries for one value the first by ``place`` counts, without that column the first by name. The lookup grows with the data and is shuffled unless it is small."""
+    first = F.min_by("canonical", "place") if "place" in lookup.columns else F.min("canonical")
+    one = lookup.groupBy("original").agg(first.alias("canonical"))
     return rows.join(one, squish(F.col(value)) == F.col("original"), "left").drop("original")
 
 

@@ -66,17 +66,19 @@ def grams(c: Column) -> Column:
     return let(pairs, numbered)
 
 
-def rarest_grams(c: Column, rank: Column, max_distance: float) -> Column:
-    """So many of the rarest grams that any name within the distance shares one of them.
+def rarest_grams(texts: DataFrame, counts: DataFrame, max_distance: float) -> DataFrame:
+    """``text, g``: for each distinct ``text`` so many of its rarest grams that any name within the distance shares one of them. ``counts``: ``g, n``, how often each gram stands.
 
     k edits leave all but 2k of a name's grams, so names of which the longer has n letters and that
     are within the distance share n - 1 - 2 floor(n d) grams; the least such number over all lengths a
     partner may have tells how many grams may be left out.
     """
-    n = F.length(c)
+    n = F.length("text")
     shared = F.transform(F.sequence(n, F.ceil(n / (1 - max_distance)).cast("int") + 1), lambda m: m - 1 - 2 * F.floor(m * max_distance + 1e-9).cast("int"))
-    ordered = lambda g: F.array_sort(F.transform(g, lambda x: F.struct(F.coalesce(F.try_element_at(rank, x), F.lit(0)).alias("r"), x.alias("g"))))
-    return let(grams(c), lambda g: F.transform(F.slice(ordered(g), F.lit(1), F.greatest(F.lit(1), F.size(g) - F.greatest(F.array_min(shared), F.lit(1)) + 1)), lambda x: x["g"]))
+    each = texts.select("text", F.explode(grams(F.col("text"))).alias("g")).join(counts, "g", "left")
+    ordered = each.groupBy("text").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g"))).alias("gs"))
+    kept = F.slice("gs", F.lit(1), F.greatest(F.lit(1), F.size("gs") - F.greatest(F.array_min(shared), F.lit(1)) + 1))
+    return ordered.select("text", F.explode(kept).alias("x")).select("text", "x.g")
 
 
 def matched(people: DataFrame, index: DataFrame, max_year_gap: int = 1, max_distance: float = 0.3) -> DataFrame:
@@ -103,10 +105,10 @@ def matched(people: DataFrame, index: DataFrame, max_year_gap: int = 1, max_dist
     named = cut(best(wanted.withColumn("last", last_token(F.col("clean"))).join(by_last, "last").filter(allowed)))
     rest = wanted.join(named.select("name", F.col("year").alias("y")), (wanted["name"] == named["name"]) & wanted["year"].eqNullSafe(F.col("y")), "left_anti")
     spelled = entries.withColumn("c", F.explode("candidates"))
-    counts = spelled.select(F.explode(grams(F.col("c"))).alias("g")).groupBy("g").count().orderBy("count", "g").limit(20_000).collect()  # pairs of 27 signs, numbered
-    order = F.create_map(*(F.lit(x) for i, r in enumerate(counts) for x in (r.g, i + 1))) if counts else F.create_map(F.lit(""), F.lit(0))
-    left = rest.withColumn("g", F.explode(rarest_grams(F.col("clean"), order, max_distance)))
-    right = spelled.withColumn("g", F.explode(rarest_grams(F.col("c"), order, max_distance))).drop("candidates").withColumn("candidates", F.array("c"))
+    counts = spelled.select(F.explode(grams(F.col("c"))).alias("g")).groupBy("g").agg(F.count("*").alias("n"))
+    rare = cut(rarest_grams(rest.select(F.col("clean").alias("text")).unionByName(spelled.select(F.col("c").alias("text"))).distinct(), counts, max_distance))
+    left = rest.join(rare.withColumnRenamed("text", "clean"), "clean")
+    right = spelled.join(rare.withColumnRenamed("text", "c"), "c").drop("candidates").withColumn("candidates", F.array("c"))
     close = left.join(right, "g").filter(allowed & (distance(F.col("clean"), F.col("c")) <= max_distance))
     found = named.unionByName(best(close))
     return found.select("name", "year", F.when(F.col("x.distance") <= max_distance, F.col("x.division")).alias("division"), F.col("x.distance").alias("distance"))
@@ -118,7 +120,7 @@ def annotate_divisions(works: DataFrame, roster: DataFrame, pattern: str, flag:
     out = works.withColumn("_first", F.when(F.col(flag), found) if flag else found)
     out = out.withColumns({f"{prefix}_author": F.col("_first.author"), f"{prefix}_author_position": F.col("_first.position").cast("int")}).drop("_first")
     people = out.filter(F.col(f"{prefix}_author").isNotNull()).select(F.col(f"{prefix}_author").alias("name"), F.col("publication_year").alias("year"))
-    best = cut(matched(people, roster_index(roster, **columns), max_year_gap, max_distance)).select(F.col("name").alias("_name"), F.col("year").alias("_year"), F.col("division").alias(f"{prefix}_author_division"))
+    best = matched(people, roster_index(roster, **columns), max_year_gap, max_distance).select(F.col("name").alias("_name"), F.col("year").alias("_year"), F.col("division").alias(f"{prefix}_author_division"))
     return out.join(best, (F.col(f"{prefix}_author") == F.col("_name")) & F.col("publication_year").eqNullSafe(F.col("_year")), "left").drop("_name", "_year")
 
 

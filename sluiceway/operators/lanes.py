@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.functions import institutions
 from sluiceway.functions.text import nonblank, squish
+from sluiceway.session import cut
 
 Client = Callable[[list[str]], list[str]]
 
@@ -82,10 +83,16 @@ def affiliation_prompt(value: Column) -> Column:
     return lines(F.lit("Give the institution this affiliation names, in its official English form."), F.lit("Leave out departments, addresses and countries. Answer [NA] if it names none."), F.lit('Answer as JSON: {"canonical_institution": "..."}'), F.concat(F.lit("Affiliation: "), value))
 
 
+def identifier(value: Column) -> Column:
+    """The id of a value in prompts: sixteen digits of its MD5 digest, the same on every engine."""
+    return F.concat(F.lit("a"), F.substring(F.md5(value), 1, 16))
+
+
 def group_prompts(values: DataFrame, size: int = 10) -> DataFrame:
     """``key, prompt, ids``: prompts for groups of ``original`` values, each with an id; groups are by hash, about ``size`` each."""
     n = max(1, -(-values.count() // size))
-    each = values.select(F.pmod(F.xxhash64("original"), F.lit(n)).alias("key"), F.concat(F.lit("a"), F.hex(F.xxhash64("original"))).alias("id"), "original")
+    group = F.pmod(F.conv(F.substring(F.md5("original"), 25, 8), 16, 10).cast("bigint"), F.lit(n))
+    each = values.select(group.alias("key"), identifier(F.col("original")).alias("id"), "original")
     entry = F.transform(F.array_sort(F.collect_list(F.struct("id", "original"))), lambda x: F.concat(x["id"], F.lit(": "), x["original"]))
     head = "For each line give the institution it names, in its official English form, or [NA]. Answer as a JSON array of {id, canonical_institution}."
     return each.groupBy("key").agg(lines(F.lit(head), F.array_join(entry, "\n")).alias("prompt"), F.sort_array(F.collect_list("id")).alias("ids"))
@@ -110,7 +117,7 @@ def resolved(values: DataFrame, answers: DataFrame, **agency) -> DataFrame:
     An empty answer falls back on a guess from the value; an omitted one stays null. Overrides and
     both passes of the rewriting follow.
     """
-    each = values.select("original", F.concat(F.lit("a"), F.hex(F.xxhash64("original"))).alias("id")).join(answers, "id", "left")
+    each = values.select("original", identifier(F.col("original")).alias("id")).join(answers, "id", "left")
     raw = F.when(F.col("canonical") == "", institutions.fallback(F.col("original"))).otherwise(F.col("canonical"))
     staged = each.select("original", institutions.overridden(F.col("original"), raw).alias("raw"))
     return staged.select("original", institutions.output_form(institutions.finalized(F.col("raw"), **agency)).alias("canonical"))
@@ -125,9 +132,14 @@ def offline_lookup(values: DataFrame, cached: DataFrame | None = None, **agency)
 
 
 def canonicalized(values: DataFrame, factory: Callable[[], Client], limits: Limits = Limits(10, 200, 2, 2.0), size: int = 10, **agency) -> DataFrame:
-    """``original, canonical``: the lookup of distinct affiliations, asked in groups; see ``resolved`` for what follows."""
+    """``original, canonical``: the lookup of distinct affiliations, asked in groups, and one by one where a group's answer is empty or lacks them; see ``resolved`` for what follows."""
     prompts = group_prompts(values, size).select("key", "prompt")
-    return resolved(values, group_answers(asked(prompts, factory, limits)), **agency)
+    answers = cut(group_answers(asked(prompts, factory, limits)))
+    each = values.select(F.col("original"), identifier(F.col("original")).alias("id"))
+    left = each.join(answers.filter("canonical is null or canonical <> ''"), "id", "left_anti")  # null: it names none
+    again = asked(left.select(F.col("id").alias("key"), affiliation_prompt(F.col("original")).alias("prompt")), factory, limits)
+    again = again.select(F.col("key").alias("id"), institutions.cleaned(single_answer(F.col("answer"))).alias("canonical"))
+    return resolved(values, answers.join(again.select("id"), "id", "left_anti").unionByName(again), **agency)
 
 
 # Subject areas of articles

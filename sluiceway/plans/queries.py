@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.functions import citation, institutions, text
@@ -20,6 +20,7 @@ FUND = "science fund"
 AGENCY = "Halvern Department of Water Stewardship"
 ROLES = ("any", "lead", "sole")
 RENAMED = [("Deborah Bonipakris Jr.", "Deborah Bonipakris"), ("Deborah Bonipakris", "Deborah A. Bonipakris"), ("Kate Zatélastel", "Katherine Zatélastel")]
+OVERRIDDEN = [{"doi": "10.90024/GEQF.2022.73454892", "author": "Deborah Bonipakris", "position": 3, "year": None}, {"doi": "10.90029/SJRB_33630511", "author": "Katherine Zatélastel", "position": 1, "year": 2021}, {"doi": "10.1/NOT.THERE", "author": "Nobody", "position": 1, "year": None}]
 BLOCKED = ["Mermot Engineering Consultants", "Stimast Water District"]
 
 
@@ -82,7 +83,7 @@ def crossref_authors(spark: SparkSession, d: str) -> DataFrame:
 
 def crossref_names(spark: SparkSession, d: str) -> DataFrame:
     pairs = A.crossref_pairs(F.col("author"))
-    return table(spark, d, "crossref_metadata").select("cr_id", joined(A.crossref_author_names(F.col("author"))).alias("names"), F.size(pairs).alias("pairs"), joined(A.pair_affiliations(pairs), "|").alias("affiliations"))
+    return table(spark, d, "crossref_metadata").select("cr_id", joined(A.crossref_author_names(F.col("author"))).alias("names"), _pairs(pairs, "affiliation").alias("pairs"), joined(A.pair_affiliations(pairs), "|").alias("affiliations"))
 
 
 def openalex_names(spark: SparkSession, d: str) -> DataFrame:
@@ -94,7 +95,16 @@ def affiliation_values(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _lookup(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "institutions").select(F.col("canonical").alias("original"), F.upper("canonical").alias("canonical"))
+    """A lookup in which a fifth of the names are missing and every seventh has a second entry that must not count."""
+    listed = table(spark, d, "institutions").filter("institution_id % 5 <> 0")
+    first = listed.select(F.col("canonical").alias("original"), F.upper("canonical").alias("canonical"), F.col("institution_id").alias("place"))
+    later = listed.filter("institution_id % 7 = 0").select(F.col("canonical").alias("original"), F.concat(F.lit("A SECOND "), "canonical").alias("canonical"), (F.col("institution_id") + 100_000).alias("place"))
+    return first.unionByName(later)
+
+
+def _pairs(pairs, value: str) -> Column:
+    """Pairs as text."""
+    return joined(F.transform(pairs, lambda p: F.concat(F.coalesce(p["author"], F.lit("")), F.lit(" @ "), F.coalesce(p[value], F.lit("")))))
 
 
 def canonical_affiliations(spark: SparkSession, d: str) -> DataFrame:
@@ -110,7 +120,7 @@ def crossref_canonical_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 def openalex_canonical_pairs(spark: SparkSession, d: str) -> DataFrame:
     out = A.openalex_canonical_pairs(table(spark, d, "openalex_metadata"), _lookup(spark, d), "oa_id", "authorships")
-    return out.select("oa_id", F.explode("author_affiliations").alias("p")).groupBy("oa_id").agg(F.count("*").alias("pairs"), F.count("p.canonical_affiliation").alias("known"))
+    return out.select("oa_id", F.posexplode("author_affiliations").alias("pos", "p")).select("oa_id", "pos", "p.author", "p.canonical_affiliation")
 
 
 def institution_rules(spark: SparkSession, d: str) -> DataFrame:
@@ -127,10 +137,19 @@ def affiliation_prompts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def harmonized(spark: SparkSession, d: str) -> DataFrame:
-    first = inventory.openalex_branch(table(spark, d, "openalex_metadata"), PATTERN)
-    second = inventory.crossref_branch(table(spark, d, "crossref_metadata"), PATTERN)
+    known = doi_registry(spark, d)
+    first = inventory.openalex_branch(table(spark, d, "openalex_metadata"), PATTERN, known)
+    second = inventory.crossref_branch(table(spark, d, "crossref_metadata"), PATTERN, known)
     out = harmonize.harmonized(first, second)
-    return out.select("doi", "journal", "publication_year", "landing_page_url", "cited_by_count", "volume", "publisher", "is_oa", joined("authors").alias("authors"), joined("unique_affiliations", "|").alias("unique_affiliations"), "dwr_author", "dwr_lead_author", "dwr_sole_author", "dwr_funding_other")
+    return out.withColumns({"authors": joined("authors"), "unique_affiliations": joined("unique_affiliations", "|")})
+
+
+def openalex_strategies(spark: SparkSession, d: str) -> DataFrame:
+    works = table(spark, d, "openalex_metadata")
+    return fetch.run_strategies([
+        fetch.Strategy(lambda: works, filter=lambda w: predicates.filter_openalex(w, PATTERN), post=lambda w: w.select("oa_id", F.lit("affiliation").alias("found_by"))),
+        fetch.Strategy(lambda: works, filter=lambda w: w.filter(predicates.openalex_grant_matches(F.col("grants"), FUND)), post=lambda w: w.select("oa_id", F.lit("grant").alias("found_by"))),
+    ])
 
 
 def recent_works(spark: SparkSession, d: str) -> DataFrame:
@@ -153,7 +172,7 @@ def name_replacements(spark: SparkSession, d: str) -> DataFrame:
 
 def blocked_affiliations(spark: SparkSession, d: str) -> DataFrame:
     records = table(spark, d, "all_metadata")
-    return records.select("record_id", F.size(overrides.block_pairs(F.col("author_affiliations"), BLOCKED)).alias("pairs"), joined(overrides.block_values(F.col("canonical_affiliations"), BLOCKED)).alias("kept"))
+    return records.select("record_id", _pairs(overrides.block_pairs(F.col("author_affiliations"), BLOCKED), "canonical_affiliation").alias("pairs"), joined(overrides.block_values(F.col("canonical_affiliations"), BLOCKED)).alias("kept"))
 
 
 def abstract_prefixes(spark: SparkSession, d: str) -> DataFrame:
@@ -195,6 +214,14 @@ def fuzzy_division(spark: SparkSession, d: str) -> DataFrame:
     return out.select("record_id", "first_affiliated_author", "first_affiliated_author_division")
 
 
+def first_author_override(spark: SparkSession, d: str) -> DataFrame:
+    """Three first authors set by hand, matched by the record's year or by another."""
+    works = fuzzy.annotate_divisions(table(spark, d, "all_metadata"), table(spark, d, "employees"), PATTERN, "dwr_author")
+    set_ = [(x["doi"], x["author"], x["position"], x["year"]) for x in OVERRIDDEN]
+    out = fuzzy.override_first_affiliated(works, table(spark, d, "employees"), set_)
+    return out.select("record_id", "first_affiliated_author", "first_affiliated_author_position", "first_affiliated_author_division")
+
+
 def roster_names(spark: SparkSession, d: str) -> DataFrame:
     return readers.title_cased(table(spark, d, "employees").select("employee_name", "year"), ["employee_name"])
 
@@ -225,7 +252,9 @@ def most_cited(spark: SparkSession, d: str) -> DataFrame:
 
 
 def final_inventory(spark: SparkSession, d: str) -> DataFrame:
-    return inventory.published(table(spark, d, "all_metadata"), None, table(spark, d, "employees"), PATTERN)
+    """The published inventory; the area of a record is the first by name of those it was labelled with."""
+    areas = label_rollup(spark, d).groupBy("record_id").agg(F.min(F.struct("second_level", "first_level")).alias("x")).select("record_id", "x.second_level", "x.first_level")
+    return inventory.published(table(spark, d, "all_metadata"), areas, table(spark, d, "employees"), PATTERN)
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -244,7 +273,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         p7_found, p7_tables, doi_clean, doi_extract, doi_registry, doi_blocklist, doi_chunks, strategies, crossref_roles, openalex_roles, openalex_filter, crossref_funding, openalex_funding, crossref_authors, crossref_names,
-        openalex_names, affiliation_values, canonical_affiliations, crossref_canonical_pairs, openalex_canonical_pairs, institution_rules, affiliation_lookup, affiliation_prompts, harmonized, recent_works,
+        openalex_names, affiliation_values, canonical_affiliations, crossref_canonical_pairs, openalex_canonical_pairs, institution_rules, affiliation_lookup, affiliation_prompts, harmonized, openalex_strategies, first_author_override, recent_works,
         default_funding, flag_override, name_replacements, blocked_affiliations, abstract_prefixes, jats_text, clean_titles, plain_text, collapsed, citations, contributions, first_affiliated, fuzzy_division,
         roster_names, taxonomy, label_rollup, article_prompts, answers_parsed, most_cited, final_inventory,
     )

@@ -51,9 +51,14 @@ def openalex_metadata(dois: DataFrame, factory: Callable[[], Fetch], schema: str
     return out.withColumn("abstract", strip_prefixes(F.col("abstract"))) if "abstract" in out.columns else out
 
 
-def search_works(spark: SparkSession, search: Callable[..., list[dict]], schema: str, limit: int | None = 1000, **parameters) -> DataFrame:
-    """One search; an empty table when it finds nothing."""
-    found = search(**parameters)[:limit]
+def search_works(spark: SparkSession, search: Callable[..., list[dict]], schema: str, page: int = 1000, **parameters) -> DataFrame:
+    """One search, ``page`` works at a time (``offset`` and ``rows`` tell the service which) until a page isn't full; an empty table when it finds nothing."""
+    found: list[dict] = []
+    while True:
+        part = search(**parameters, offset=len(found), rows=page)
+        found += part
+        if len(part) < page:
+            break
     return spark.createDataFrame(found, schema) if found else spark.createDataFrame([], schema)
 
 

@@ -220,6 +220,66 @@ def test_lane(spark):
     assert {tuple(r) for r in lanes.resolved(values, answers).collect()} == {("UC Davis, CA 95616", "UC Davis"), ("Cornell", "Cornell University")}
 
 
+def test_empty_answers_are_asked_again(spark):
+    """Values that a group's answer leaves out or empty are asked one by one; what stays empty is guessed, [NA] is none."""
+    values = spark.createDataFrame([("UC Davis, CA 95616",), ("Cornell",), ("Acme, Inc",), ("Retired",)], "original string")
+
+    def factory():
+        import json
+
+        def client(asked):
+            out = []
+            for p in asked:
+                if "Affiliation: " in p:
+                    out.append('{"canonical_institution": "Acme Ltd."}' if "Acme" in p else "")
+                    continue
+                entries = [line.split(": ", 1) for line in p.split("\n")[1:]]
+                known = {"Cornell": "Cornell", "UC Davis, CA 95616": "", "Retired": "[NA]"}
+                out.append(json.dumps([{"id": i, "canonical_institution": known[v]} for i, v in entries if v in known]))
+            return out
+
+        return client
+
+    got = {r.original: r.canonical for r in lanes.canonicalized(values, factory, lanes.Limits(rpm=100000)).collect()}
+    assert got == {"UC Davis, CA 95616": "UC Davis", "Cornell": "Cornell University", "Acme, Inc": "Acme", "Retired": None}
+
+
+def test_searches_are_paged(spark):
+    calls = []
+
+    def search(query, offset, rows):
+        calls.append(offset)
+        return [{"doi": f"{query}/{i}"} for i in range(offset, min(offset + rows, 25))]
+
+    assert fetch.search_works(spark, search, "doi string", page=10, query="10.1").count() == 25 and calls == [0, 10, 20]
+    assert fetch.search_works(spark, lambda **_: [], "doi string").count() == 0
+
+
+def test_normalized_matcher(spark):
+    works = spark.createDataFrame([([("Ann", "Org")],), ([("Org Team", None)],), ([("Bo", "Univ")],), (None,)], "author array<struct<author_name:string,author_affiliation:string>>")
+    got = predicates.filter_works(works, "org", "author", predicates.normalized_author_matches)
+    assert got.count() == 2
+
+
+def test_first_entry_of_a_lookup_counts(spark):
+    works = spark.createDataFrame([(1, [" x  y", "z"])], "id int, u array<string>")
+    lookup = spark.createDataFrame([("x y", "B", 1), ("x y", "A", 2)], "original string, canonical string, place int")
+    assert [r.canonical_affiliations for r in A.canonical_affiliations(works, lookup, "id", "u").collect()] == [["B"]]
+    assert [r.canonical_affiliations for r in A.canonical_affiliations(works, lookup.drop("place"), "id", "u").collect()] == [["A"]]
+
+
+def test_clusters_must_name_their_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from sluiceway import session
+
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        session.shared_dir(unset)
+    assert session.cut(spark.range(3)).count() == 3
+    session.swept(spark)
+
+
 def test_answers(spark):
     areas = spark.createDataFrame([("f ", "s", "d")], "first_level string, second_level string, description string")
     said = ['{"second_level": "s", "confidence": 1.5, "note": " a   b "}', '{"second_level": "s", "confidence": -2, "note": ""}', '{"second_level": "t", "confidence": null}', "no", None]
