@@ -67,18 +67,19 @@ def packed(documents: DataFrame, containers: DataFrame, key: str = "doc_id", tex
 
     ``containers`` is a fixed short list: ``container, capacity_tokens``; kinds without a positive
     capacity are left out. A document larger than the capacity is split into full containers of its
-    own and one rest; no other one is split. Documents are packed in shards of about ``shard_items``,
-    spread by hash, each by one task. Null, empty and tokenless documents are items of size 0 and
+    own and one rest; no other one is split. Documents are packed in shards of about ``shard_items``
+    parts, spread by hash, each by one task. Null, empty and tokenless documents are items of size 0 and
     share a container; equal documents count each; an empty table gives an empty result; further
     columns are ignored.
     """
     sized = cut(documents.select(F.col(key).alias("doc"), tokens.token_count(F.col(text), path).alias("n")))
-    shards = max(1, round(sized.count() / shard_items))
     kinds = [(r.container, int(r.capacity_tokens)) for r in containers.select("container", "capacity_tokens").filter("capacity_tokens > 0").distinct().collect()]
     if not kinds:
         return sized.limit(0).selectExpr("'' container", "0 shard", "0L bin", "doc", "0 part", "0 first_token", "0 tokens")
-    kind = F.explode(F.array(*(F.struct(F.lit(c).alias("container"), F.lit(k).alias("capacity")) for c, k in kinds))).alias("kind")
-    items = sized.select("doc", "n", F.pmod(F.xxhash64("doc"), F.lit(shards)).cast("int").alias("shard"), kind).select("doc", "n", "shard", "kind.*")
+    parts_of = [F.sum(F.greatest(F.lit(1), F.ceil(F.col("n") / k))) for _, k in kinds]
+    shards = [max(1, round((n or 0) / shard_items)) for n in sized.agg(*parts_of).first()]
+    kind = F.explode(F.array(*(F.struct(F.lit(c).alias("container"), F.lit(k).alias("capacity"), F.lit(m).alias("shards")) for (c, k), m in zip(kinds, shards, strict=True)))).alias("kind")
+    items = sized.select("doc", "n", kind).select("doc", "n", F.pmod(F.xxhash64("doc"), "kind.shards").cast("int").alias("shard"), "kind.container", "kind.capacity")
     parts = F.expr("explode(sequence(0, greatest(0, ceil(n / capacity) - 1))) AS part")
     items = items.select("*", parts).selectExpr("container", "shard", "capacity", "doc", "cast(part as int) part", "cast(part * capacity as int) first_token", "cast(least(capacity, n - part * capacity) as int) tokens")
 
