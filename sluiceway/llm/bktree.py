@@ -71,8 +71,6 @@ class BKTree:
 
     def within(self, text: str, most: int) -> list[tuple[int, str]]:
         """All entries at most ``most`` edits from ``text``, nearest first."""
-        if most == 0:
-            return [(0, text)] if text in self.ids else []
         own = masks(text)
         found, todo = [], [self.root] if self.root else []
         while todo:

@@ -2,8 +2,9 @@
 
 A typed value is cut into its parts (department, name, place, ...); every part is brought to the
 spelling of the list (case, accents, known abbreviations and languages) and looked up in the tree.
-The tree returns every entry within the threshold. Initials are looked up too, and need the entry's
-place beside them where several entries share them. Each distinct value is looked up once.
+The tree holds the entries' names and, marked, their initials, and returns every entry within the
+threshold: that of initials is 0, and they need the entry's place beside them where several entries
+share them. Each distinct value is looked up once.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ SHARD_ENTRIES = 50_000
 #: Edits allowed, and the shortest part that may have any.
 EDITS, LEAST_FUZZY = 1, 9
 NONE = -1
+#: Stands before initials in the tree.
+MARK = "\u001f"
 #: Ways in which an entry is hit, in order of preference; and that a part or a text of the value is a place of the list.
 EXACT, NEAR, INITIALS, PLACE_PART, PLACE_TEXT = range(5)
 
@@ -77,14 +80,13 @@ class Matcher:
 
     def __init__(self, entries: list[tuple[int, str, str]], edits: int = EDITS):
         names: dict[str, list[int]] = {}
-        self.by_initials: dict[str, list[int]] = {}
         self.place: dict[int, str] = {}
         for key, name, place in entries:
             full = spelled(fold(name or ""))
             if not full:
                 continue
             names.setdefault(full, []).append(key)
-            self.by_initials.setdefault(initials(full), []).append(key)
+            names.setdefault(MARK + initials(full), []).append(key)
             self.place[key] = fold(place or "")
         self.places = set(self.place.values()) - {""}
         self.tree, self.edits = BKTree(names), edits
@@ -94,7 +96,7 @@ class Matcher:
         """Entries within the threshold of a part. A swap of neighbours is one slip of the hand but two edits, so the tree is asked for one edit more."""
         if len(part) < LEAST_FUZZY:
             return ()
-        return tuple((min(k, self.edits), name) for k, name in self.tree.within(part, self.edits + 1) if k <= self.edits or (self.edits == 1 and one_edit(part, name)))
+        return tuple((min(k, self.edits), name) for k, name in self.tree.within(part, self.edits + 1) if name[0] != MARK and (k <= self.edits or (self.edits == 1 and one_edit(part, name))))
 
     def best(self, value: str | None) -> tuple[int, int]:
         """(edits, entry) of the nearest entry, or (-1, NONE). A tie that the place doesn't settle gives none."""
@@ -112,7 +114,8 @@ class Matcher:
 
     def short(self, parts: list[str]) -> set[int]:
         """Entries whose initials are a part."""
-        return {key for p in parts for key in self.by_initials.get(p.replace(".", "").replace(" ", ""), ()) if len(p.replace(".", "")) >= 3}
+        asked = {MARK + p.replace(".", "").replace(" ", "") for p in parts if len(p.replace(".", "")) >= 3}
+        return {key for x in asked for _, name in self.tree.within(x, 0) for key in self.tree.ids[name]}
 
     def hits(self, value: str | None) -> set[tuple[int, int, int, bool, str]]:
         """(way, edits, entry, whether its place stands beside it, text) of every entry of the shard that a value may mean, and the places of the shard in it; ``weighed`` has the rest of ``best``."""
