@@ -163,7 +163,7 @@ def continued(v: DataFrame) -> DataFrame:
 
 
 def evidence(v: DataFrame) -> DataFrame:
-    """``v`` with ``more`` (a kind of MORE) and, where another value says more, ``all``: how many claims its group makes of values without a sign."""
+    """``v`` with ``more`` (a kind of MORE) and, where another value says more, ``all``: how many claims its group may make of such values."""
     rest = continued(v)
     said = rest.groupBy(F.xxhash64("rest").alias("said")).agg(F.count("*").alias("times"))
     total = said.agg(F.sum("times").alias("every"))
@@ -173,10 +173,9 @@ def evidence(v: DataFrame) -> DataFrame:
     k = F.aggregate("votes", F.lit(0).cast("bigint"), lambda a, x: a + x["k"])
     v = v.drop("value").join(rest, ["core", "family", "h"], "left")
     short = (F.col("family") == "authors") & (F.col("sign") == "none") & (F.col("n") < F.col("longest"))
-    v = v.withColumn("more", F.when(short, "names").otherwise(F.coalesce("goes_on", F.lit("nothing")))).withColumn("k", k).drop("goes_on", "n", "longest")
-    total = v.filter("sign = 'none'").groupBy("core", "family").agg(F.sum("k").alias("all"), F.max("size").alias("size"), F.max(F.col("more") != "nothing").alias("open")).filter("open").drop("open")
-    contested = join_groups(v.filter("more <> 'nothing'").drop("size"), total, ["core", "family"], "size").drop("size")
-    return v.filter("more = 'nothing'").withColumn("all", F.lit(None).cast("bigint")).select(*(c for c in v.columns if c != "size"), "all").unionByName(contested)
+    v = v.withColumn("more", F.when(short, "names").otherwise(F.coalesce("goes_on", F.lit("nothing")))).withColumn("k", k)
+    chances = F.col("size") * F.when(F.col("family") == "title", sum(f == "title" for f in FIELDS.values())).otherwise(1)
+    return v.withColumn("all", F.when(F.col("more") != "nothing", chances)).drop("goes_on", "n", "longest", "size")
 
 
 class Parameters:
@@ -265,11 +264,11 @@ def estimated(scored: DataFrame, claims: DataFrame, pairs: DataFrame, items: Dat
 
 
 def moved(a: Parameters, b: Parameters) -> float:
-    """How far the parameters are apart, at most: accuracies, dependences and the posteriors' log likelihood ratios in units of ten."""
+    """How far the parameters are apart, at most: accuracies, and log likelihood ratios in units of ten."""
     if a.accuracy is None:
         return 1.0
     far = lambda x, y, on, c: x.join(y.withColumnRenamed(c, "_before"), on).agg(F.max(F.abs(F.col(c) - F.col("_before"))).alias("x"))
-    most = [r.x or 0.0 for r in far(b.accuracy, a.accuracy, ["src"], "a").unionAll(far(b.dependence, a.dependence, ["a", "b"], "p")).collect()]
+    most = [far(b.accuracy, a.accuracy, ["src"], "a").first().x or 0.0]
     ratio = lambda t, k: math.log(t[k][0] / t[k][1])
     return max([*most, *(abs(ratio(x, k) - ratio(y, k)) / 10 for x, y in ((a.sign, b.sign), (a.more, b.more)) for k in x)])
 
