@@ -43,7 +43,8 @@ KNOWN = (
     ("IIT@MIT", "Massachusetts Institute of Technology"),
     ("Cal State East Bay", "California State University, East Bay"),
     (r"Leibniz[-\s]?Institute of Freshwater Ecology and Inland Fisheries", "Leibniz Institute of Freshwater Ecology and Inland Fisheries"),
-    ("(?:The Metropolitan Water District of Southern California|Metropolitan Water District)", "Metropolitan Water District of Southern California"),
+    ("Metropolitan Water District", "Metropolitan Water District of Southern California"),
+    ("The Metropolitan Water District of Southern California", "Metropolitan Water District of Southern California"),
     ("CalTrout", "California Trout"),
     ("NSW Government", "New South Wales Government"),
     (r"National Center for Agro[-\s]?Meteorology", "National Center for Agro Meteorology"),
@@ -59,7 +60,8 @@ KNOWN = (
     ("Scripps", "Scripps Institution of Oceanography"),
     ("Southern California Coastal Water Research Project Authority", "Southern California Coastal Water Research Project"),
     ("Stony Brook University State University of New York", "Stony Brook University"),
-    ("United States Department of Agriculture (?:Natural Resources Conservation|Agricultural Research) Service", "United States Department of Agriculture"),
+    ("United States Department of Agriculture Natural Resources Conservation Service", "United States Department of Agriculture"),
+    ("United States Department of Agriculture Agricultural Research Service", "United States Department of Agriculture"),
     (r"Universita[_\s]+de[_\s]+Bourgogne", "Universita de Bourgogne"),
     (r"Universit\s*extAllCaps\{e\}extAllCaps\{e\}\s+Toulouse\s+III\s*[-–]?\s*Paul\s+Sabatier", "Universite Toulouse III"),
     ("University", "University College Dublin"),
@@ -77,12 +79,16 @@ KNOWN = (
     ("Bureau of Land Management", "United States Bureau of Land Management"),
     ("USGS Pacific Coastal and Marine Science Center", "United States Geological Survey"),
     ("United States Army RDECOM", "United States Army Engineer Research and Development Center"),
-    ("European Centre for Medium-Range (?:Forecasts|Weather Forecasting)", "European Centre for Medium-Range Weather Forecasts"),
+    ("European Centre for Medium-Range Forecasts", "European Centre for Medium-Range Weather Forecasts"),
+    ("European Centre for Medium-Range Weather Forecasting", "European Centre for Medium-Range Weather Forecasts"),
     ("Florida A&M University[-–]Florida State University.*", "Florida A&M University"),
     ("State University of New York College of Environmental Science and Forestry", "State University of New York"),
-    ("The Graduate Center(?:,? CUNY| of the City University of New York| City University of New York)", "City University of New York"),
+    ("The Graduate Center,? CUNY", "City University of New York"),
+    ("The Graduate Center of the City University of New York", "City University of New York"),
+    ("The Graduate Center City University of New York", "City University of New York"),
     ("Johns Hopkins University Applied Physics Laboratory", "Johns Hopkins University"),
-    ("Monterey Bay Aquarium(?: Research)? Institute", "Monterey Bay Aquarium"),
+    ("Monterey Bay Aquarium Research Institute", "Monterey Bay Aquarium"),
+    ("Monterey Bay Aquarium Institute", "Monterey Bay Aquarium"),
 )
 # Agencies of one department, told by what stands anywhere in the name.
 DEPARTMENT = (
