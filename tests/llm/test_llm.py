@@ -184,6 +184,15 @@ def test_best_values(spark):
     assert built.title_openalex == "Another title" and built.authors_crossref == two
 
 
+def test_fusion_of_odd_rows(spark):
+    """Texts of any length count whole, repeated rows and ties give the first key, rows of nulls give no row of their own, clashing columns are left alone."""
+    cut = LONG[:-30]
+    data = [record(5, 1, LONG + "ends", None, None, None), record(4, 1, LONG + "ends", None, None, None), record(6, 2, cut, None, None, None), record(7, 3), record(8, None), record(1, 9, doi="10.1234/z"), record(2, 9, doi="10.1234/z")]
+    df = spark.createDataFrame(data, RECORD).selectExpr("*", "'x' core", "1 src", "2 h", "3 size", "4 p")
+    assert rows(fusion.best(df)) == [(4, "title_openalex", 4)]
+    assert fusion.survivors(df).count() == 1
+
+
 def test_votes_are_counted_exactly(spark):
     """Each of 2,000 values has twelve different votes of one source and one that is repeated."""
     claimed = spark.range(2000).selectExpr("cast(id as string) core", "explode(sequence(0, 12)) v", "id").selectExpr("core", "id * 100 + v id", "timestamp'2024-01-01' t", "'s' source", "id * 100 + v % 12 print", "2L size", "0 longest", "1L h0", "cast(null as long) h1", "cast(null as long) h2", "cast(null as long) h3")
