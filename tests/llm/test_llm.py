@@ -604,3 +604,24 @@ def test_monotone_trees():
         grid[:, f] = np.tile(np.linspace(0, 1, 20), 50)
         steps = np.diff(model.score(grid).reshape(50, 20), axis=1) * sign
         assert (steps >= -1e-12).all()
+
+
+def test_repetition_of_a_rare_kind(spark):
+    """A few documents repeat themselves in runs of eight words, the others whole, not at all or in runs of seven; the few lie last in the order of hashes, so that a sample lacks them."""
+    rng = random.Random(5)
+
+    def fresh(n):
+        return ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+
+    def scattered():
+        w = fresh(64)
+        return " ".join(w[:50] + [x for i in (0, 17, 34) for x in (*w[i : i + 8], w[50 + i // 17])] + w[:8])
+
+    def common():
+        w = fresh(60)
+        return " ".join(rng.choice([w, w + w, w + [x for i in range(0, 49, 7) for x in (*w[i : i + 7], *fresh(1))] + w[5:14]]))
+
+    ids = [r.id for r in spark.range(3600).orderBy(F.xxhash64("id")).collect()]
+    df = spark.createDataFrame([(i, common()) for i in ids[:-8]] + [(i, scattered()) for i in ids[-8:]], "doc_id long, text string")
+    expected = {r.doc_id for r in df.collect() if repetition.repeated_share(r.text) >= repetition.SHARE}
+    assert expected >= set(ids[-8:]) and {r.doc_id for r in repetition.repetitive(df).collect()} == expected
