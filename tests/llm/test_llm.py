@@ -359,6 +359,30 @@ def test_threshold():
     assert subjects.threshold(score, true, 0) == 1.5
 
 
+def test_thresholds_of_all_labels(spark):
+    """The thresholds are those of all 24,000 labelled records; the last 4,000 in the order of hashes, which a sample lacks, are of another kind."""
+    late = {r.id for r in spark.range(24000).orderBy(F.xxhash64("id").desc()).limit(4000).collect()}
+    rng = random.Random(3)
+    scores = [(i, a, rng.choice([rng.random() * (3 if a == "law" else 1), rng.randint(1, 8) / 8])) for i in range(24000) for a in ("law", "snow", "rare") if rng.random() < (0.002 if a == "rare" else 0.7)]
+    truth = {(i, a) for i, a, s in scores if s + rng.gauss(0, 0.2) > (0.3 if i in late else 0.7)} | {(i, "law") for i in range(0, 24000, 50)}
+    labels = [(i, a + " ") for i, a in truth] + [(i, "none") for i in range(24000)]
+    got = subjects.calibrated(spark.createDataFrame(scores, "key long, area string, score double"), spark.createDataFrame(labels, "record_id long, second_level string"))
+
+    def best(areas, missed):
+        own = [(s, (i, a) in truth) for i, a, s in scores if a in areas]
+        return subjects.threshold(np.array([s for s, _ in own]), np.array([t for _, t in own]), missed), len(own), sum(t for _, t in own)
+
+    alone, _, n = best(("law", "snow", "rare"), len(truth - {(i, a) for i, a, _ in scores}) + 24000)
+    whole = (alone * n + subjects.DEFAULT_THRESHOLD * subjects.FEW_LABELS) / (n + subjects.FEW_LABELS)
+    expected = {"": whole}
+    for a in ("law", "snow", "rare"):
+        alone, pairs, n = best((a,), 0)
+        if n >= subjects.OWN_LABELS:
+            expected[a] = (alone * pairs + whole * subjects.OWN_LABELS) / (pairs + subjects.OWN_LABELS)
+    assert "law" in expected and "rare" not in expected
+    assert got.keys() == expected.keys() and all(abs(got[a] - t) < 1e-12 for a, t in expected.items())
+
+
 # 6
 
 
