@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluiceway.operators.skew import SIDE, crowded, in_cells
+
 SCALARS = ("title", "abstract", "journal", "publication_year", "landing_page_url", "cited_by_count", "volume", "publisher")
 ONLY_FIRST = ("is_oa", "is_oa_anywhere", "oa_status", "pdf_url", "license", "first_page", "last_page", "issue")
 LISTS = ("authors", "unique_affiliations", "canonical_affiliations")
@@ -26,10 +28,21 @@ def either(a: Column, b: Column) -> Column:
     return F.coalesce(a, F.lit(False)) | F.coalesce(b, F.lit(False))
 
 
-def harmonized(first: DataFrame, second: DataFrame, key: str = "doi") -> DataFrame:
-    """Rows of both sources by ``key``; the first source's values come first. Duplicates on either side multiply."""
+def harmonized(first: DataFrame, second: DataFrame, key: str = "doi", known: DataFrame | None = None, side: int = SIDE) -> DataFrame:
+    """Rows of both sources by ``key``; the first source's values come first. Duplicates on either side multiply.
+
+    ``known`` has further columns for a key, which it has once. A full join holds all pairs of a key
+    in memory before it passes on the first, so keys with many pairs are joined cell by cell of a
+    grid. Such a key is in both sources, so what has no partner in a cell has one in another.
+    """
+    keys = crowded(first, second, key, side)
+    first, second = in_cells(first, keys, key, "first"), in_cells(second, keys, key, "second")
+    if known is not None:
+        known = in_cells(known, keys, key, "every").drop("_crowded")
+        first, second = (x.join(known, [key, "_cell"], "left") for x in (first, second))
     a, b = first.alias("a"), second.alias("b")
-    joined = a.join(b, F.col(f"a.{key}") == F.col(f"b.{key}"), "full")
+    joined = a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a._cell") == F.col("b._cell")), "full")
+    joined = joined.filter(~F.coalesce("a._crowded", "b._crowded") | (F.col("a._cell").isNotNull() & F.col("b._cell").isNotNull()))
     have = lambda side, c: F.col(f"{side}.{c}") if c in (first if side == "a" else second).columns else F.lit(None)
     both = lambda c, f: f(have("a", c), have("b", c)).alias(c)
     known = {*first.columns, *second.columns}

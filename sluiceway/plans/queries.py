@@ -137,10 +137,9 @@ def affiliation_prompts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def harmonized(spark: SparkSession, d: str) -> DataFrame:
-    known = doi_registry(spark, d)
-    first = inventory.openalex_branch(table(spark, d, "openalex_metadata"), PATTERN, known)
-    second = inventory.crossref_branch(table(spark, d, "crossref_metadata"), PATTERN, known)
-    out = harmonize.harmonized(first, second)
+    first = inventory.openalex_branch(table(spark, d, "openalex_metadata"), PATTERN)
+    second = inventory.crossref_branch(table(spark, d, "crossref_metadata"), PATTERN)
+    out = harmonize.harmonized(first, second, known=doi_registry(spark, d))
     return out.withColumns({"authors": joined("authors"), "unique_affiliations": joined("unique_affiliations", "|")})
 
 

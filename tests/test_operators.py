@@ -72,6 +72,31 @@ def test_coalescing(spark):
     assert [r.x for r in df.select(harmonize.first_list(F.col("a"), F.col("b")).alias("x")).collect()] == [["b"], ["b"], ["b"], ["a", None], None]
 
 
+def test_harmonized_crowded(spark):
+    """A DOI with many rows in both sources, and with many in one only: all pairs once, and not all of them in one task."""
+    a = [("x", i) for i in range(300)] + [("only", i) for i in range(300)] + [("y", 1), ("y", 2), (None, 3), ("z", 4)]
+    b = [("x", i) for i in range(200)] + [("rest", i) for i in range(300)] + [("y", 5), (None, 6), (None, 7), ("w", 8)]
+    first, second = spark.createDataFrame(a, "doi string, oa_status int"), spark.createDataFrame(b, "doi string, volume int")
+    known = spark.createDataFrame([("x", "m"), ("y", "n"), ("w", "n"), ("v", "n")], "doi string, doi_source string")
+    source = dict(known.collect())
+    wanted = [(k, v, i, source.get(k)) for k, i in a for v in ([w for j, w in b if j == k and k] or [None])]
+    wanted += [(k, v, None, source.get(k)) for k, v in b if not k or k not in {j for j, _ in a}]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = harmonize.harmonized(first, second).select("doi", F.spark_partition_id().alias("at")).filter("doi = 'x'").groupBy("at").count().collect()
+        assert sum(r["count"] for r in plain) == 60_000 and max(r["count"] for r in plain) < 60_000
+        for side in (16, 128, 1000):
+            out = harmonize.harmonized(first, second, known=known, side=side)
+            got = out.select("doi", "volume", "oa_status", "doi_source", F.spark_partition_id().alias("at")).collect()
+            assert sorted(map(str, (tuple(r)[:4] for r in got))) == sorted(map(str, wanted)), side
+            tasks = [sum(r.at == n for r in got if r.doi == "x") for n in range(4)]
+            assert side > 200 or max(tasks) < 45_000, tasks
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_replacements(spark):
     df = spark.createDataFrame([(["A", "B", "C", None],)], "n array<string>")
     assert df.select(overrides.replace_names(F.col("n"), [("A", "B"), ("B", "D")])).first()[0] == ["D", "D", "C", None]
